@@ -1,0 +1,44 @@
+"""Connected components of links between ids, by alternating star contraction over DataFrames."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import written
+
+#: A contraction halves what is left of each component at least; so many rounds serve any graph that fits a disk.
+MOST_ROUNDS = 60
+
+
+def _both_ways(links: DataFrame) -> DataFrame:
+    return links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of links (u, v), root being the smallest node reachable.
+
+    Links with a null end or with equal ends say nothing. Large-star: each node's larger neighbours are linked to the
+    smallest of its neighbourhood; small-star: so are its smaller neighbours and it itself. What remains in the end is a
+    star around each component's smallest node. A hub's links are spread by splitting skewed joins; minima are combined
+    before they are shuffled, and nothing is gathered in one place.
+    """
+    state = written(links.where("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).select("u", "v").distinct(), "links")
+    digest = None
+    for _ in range(MOST_ROUNDS):
+        both = _both_ways(state)
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        # All links now lead from the larger to the smaller node.
+        large = large.distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        state = written(small.where("u <> v").distinct(), "links")
+        # Bits of a sum of hashes: no change means no further change.
+        now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if tuple(now) == digest:
+            break
+        digest = tuple(now)
+    else:
+        raise RuntimeError(f"components still change after {MOST_ROUNDS} rounds")
+    return state.select(F.col("u").alias("node"), F.col("v").alias("root")).union(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
