@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ def id_type(df: DataFrame, id_col: str) -> str:
 def slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a binary or string column that hold about most_bytes each, so that work space stays small."""
     start, held = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(column).to_pylist()):
+    for i, n in enumerate(pc.binary_length(column).to_pylist()):
         held += n or 0
         if held >= most_bytes:
             yield start, i + 1
