@@ -136,7 +136,7 @@ def regression(df: DataFrame, y: str, xs: Sequence[str]) -> dict | None:
         return None
     beta = np.linalg.lstsq(cov[1:, 1:], cov[1:, 0], rcond=None)[0]
     explained = float(beta @ cov[1:, 0])
-    r2 = explained / cov[0, 0] if cov[0, 0] > 0 else np.nan
+    r2 = explained / float(cov[0, 0]) if cov[0, 0] > 0 else float("nan")
     return {"column": y, "on": list(xs), "coefficients": beta.tolist(), "intercept": float(means[0] - beta @ means[1:]), "rows": rows, "r2": r2, "adjusted_r2": stats.adjusted_r2(r2, rows, len(xs))}
 
 
