@@ -31,7 +31,7 @@ _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 def strip(x: Operand) -> Column:
     """Trimmed of all Unicode white space, less no-break spaces within; nothing left is null."""
-    text = F.regexp_replace(F.regexp_replace(_of(x).cast("string"), _EDGES, ""), " ", "")
+    text = F.regexp_replace(F.regexp_replace(_of(x).cast("string"), _EDGES, ""), "\u00a0", "")
     return F.nullif(text, F.lit(""))
 
 
