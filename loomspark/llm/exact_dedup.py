@@ -63,8 +63,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     order = F.struct((-F.col("_chars")).alias("chars"), F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
     groups = rows.where("_full is not null").groupBy("_full").agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_best")).where("_n > 1")
+    # Rows without a full hash would all be dealt to one task; they are known to be alone.
+    alone = rows.where("_full is null").withColumns({"_n": F.lit(None).cast("long"), "_best": F.lit(None).cast(groups.schema["_best"].dataType)})
     # A group's row is unique, so that a hot group is a skewed join which adaptive execution splits.
-    return rows.join(groups, "_full", "left").select(
+    shared = rows.where("_full is not null").join(groups, "_full", "left").select(alone.columns)
+    return alone.union(shared).select(
         F.col("_id").alias(id_col),
         F.when(F.col("_n").isNull(), F.col("_id")).otherwise(F.col("_best.id")).alias("keep_id"),
         F.coalesce("_n", F.lit(1)).alias("group_size"),
