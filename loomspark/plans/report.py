@@ -114,8 +114,8 @@ def missing_strings(df, columns: Sequence[str], order: str) -> dict[str, str]:
 
     from ..functions import exprs as E
 
-    bits = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(E.c(order).isNull().alias("none"), E.c(order).alias("at"), F.monotonically_increasing_id().alias("tie"), E.c(c).isNull().cast("int").alias("bit")))), lambda x: x["bit"].cast("string")), "").alias(f"b{k}") for k, c in enumerate(columns)]
+    bits = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(E.c(order).isNull().alias("none"), E.c(order).alias("at"), F.col("_r").alias("tie"), E.c(c).isNull().cast("int").alias("bit")))), lambda x: x["bit"].cast("string")), "").alias(f"b{k}") for k, c in enumerate(columns)]
     if df.limit(10_001).count() > 10_000:
         raise ValueError("too many rows to look at one by one")
-    found = df.withColumn("_r", F.lit(0)).agg(*bits).first()
+    found = df.withColumn("_r", F.monotonically_increasing_id()).agg(*bits).first()
     return {c: found[k] for k, c in enumerate(columns)}
