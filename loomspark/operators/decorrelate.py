@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as E
 from ..functions import stats
+from ..session import reach_workers
 from . import similarity as S
 
 ACTIONS = ("off", "describe", "keep_one", "residualise", "summarise")
@@ -56,6 +57,7 @@ def stability(df: DataFrame, found: Sequence[Cluster], columns: Sequence[str], k
     p, b = len(columns), knobs.resamples
     if not found:
         return []
+    reach_workers(df.sparkSession)
     source = S.ranks(df, columns) if knobs.method == "spearman" else df
     means = source.agg(*(F.avg(E.c(c)).alias(f"m{k}") for k, c in enumerate(columns))).first()
     rows = source.select(F.xxhash64(*(E.c(c) for c in columns), F.monotonically_increasing_id()).alias("key"), *((E.c(c).cast("double") - (means[k] or 0.0)).alias(f"x{k}") for k, c in enumerate(columns)))

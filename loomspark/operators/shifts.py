@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as E
 from ..functions import stats
+from ..session import reach_workers
 
 PERMUTATIONS, MOST_P, LEAST_DAYS, LEAST_VALUES, SIMILARITY = 200, 0.01, 2.0, 20, 0.8
 
@@ -90,6 +91,8 @@ def tested(df: DataFrame, columns: Sequence[str], day: str, plant: str | None =
     site = F.trim(E.c(plant).cast("string")) if plant else F.lit("")
     long = df.select(site.alias("plant"), at.alias("day"), F.explode(F.array(*(F.struct(F.lit(c).alias("column"), E.c(c).cast("string").alias("value")) for c in columns))).alias("x")).select("plant", "day", "x.*").where("plant is not null and day is not null and value is not null")
 
+    reach_workers(df.sparkSession)
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["day", "value"], kind="stable")
         days, d = np.unique(rows["day"], return_inverse=True)
@@ -110,6 +113,8 @@ def segment_rows(df: DataFrame, by: str, day: str, value: str) -> DataFrame:
     """Segments of each series, by its key: (key, first, last, value). Only distinct pairs reach a series' task."""
     pairs = df.where(E.c(day).isNotNull() & E.c(value).isNotNull()).select(E.c(by).cast("string").alias("key"), E.c(day).cast("long").alias("day"), E.c(value).cast("string").alias("value")).distinct()
 
+    reach_workers(df.sparkSession)
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         code, names = pd.factorize(rows["value"], sort=True)
         found = segments(rows["day"].to_numpy(), code)

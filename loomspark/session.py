@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+ROOT = str(Path(__file__).resolve().parents[1])
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Lets Python workers that start from now on import this package, wherever the driver was started."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
+
 
 def session(app: str = "loomspark", **conf: str) -> SparkSession:
     """Adaptive execution splits skewed joins and sizes shuffles; times are UTC; the caller's conf has the last word."""
