@@ -2,54 +2,42 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reach_workers
+from ..sources.shared import shared_dir, written  # noqa: F401
+
 #: The white space that splits words everywhere in this subpackage: [\x20\x09-\x0D].
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
-REPO = str(Path(__file__).resolve().parents[2])
-
-
-def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers that start from now on import this package."""
-    env = spark.sparkContext.environment
-    if REPO not in env.get("PYTHONPATH", "").split(":"):
-        env["PYTHONPATH"] = ":".join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
+#: Plan nodes that give the same rows in the same places whatever columns are asked for.
+_STEADY = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD", "Union", "SubqueryAlias"}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
+def steady(docs: DataFrame) -> DataFrame:
+    """docs, such that monotonically_increasing_id() numbers its rows alike in each plan over it.
 
-    Only a local session, where all share one disk, may go without the setting; it then gets a folder of its own.
+    That holds for tables that are read, projected and filtered. Anything else (a shuffle may deal rows out by what is
+    left of them after column pruning) is written first.
     """
-    key = "spark.checkpoint.dir"
-    found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if not found:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError(f"{key} must name a folder that the driver and the executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="loomspark-")
-        spark.conf.set(key, found)
-    return found.rstrip("/")
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {line.lstrip(" +-:!'").split(" ", 1)[0].split("[", 1)[0] for line in plan.splitlines() if line.strip()}
+    return docs if nodes <= _STEADY else written(docs, "rows")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df, written as Parquet in the shared folder and read again.
+def row_number() -> Column:
+    return F.monotonically_increasing_id()
 
-    Lost executors then cost a reread and not the work before it; nothing is computed twice by later branches.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """docs, which must be steady, less the rows whose number is in dropped (_key); columns may have any names."""
+    plain = docs.select(*(F.col("`" + c.replace("`", "``") + "`").alias(f"c{k}") for k, c in enumerate(docs.columns)), row_number().alias("_key"))
+    return plain.join(dropped.select("_key"), "_key", "left_anti").drop("_key").toDF(*docs.columns)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text, written
+from .common import row_number, steady, whole_text, written
 
 #: Relative standard error of a sketch of 2^12 registers, times three and a margin: how far off an estimate counts as near.
 LOG_REGISTERS, BAND = 12, 0.06
@@ -50,7 +50,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stay. Null texts count as empty: one blank line. A null site is no site: its lines count nowhere, but boilerplate is
     removed from them too. Repeated rows count once, by their site, and each keeps its row; an empty table gives none.
     """
-    parted = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(site_col).cast("string").alias("_site"), F.split(whole_text(text_col), "\n", -1).alias("_lines"))
+    parted = steady(docs).select(row_number().alias("_row"), F.col(id_col).alias("_id"), F.col(site_col).cast("string").alias("_site"), F.split(whole_text(text_col), "\n", -1).alias("_lines"))
     lines = written(_lines(parted), "lines")
     removed = lines.join(boilerplate(lines, least_sites), ["h1", "h2"], "left_semi").groupBy("_row").agg(F.array_sort(F.collect_list("at")).alias("_at"))
     places = F.coalesce("_at", F.array().cast("array<int>"))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, map_batches, whole_text, written
+from .common import WHITE_SPACE, map_batches, row_number, steady, whole_text, without_rows, written
 
 _WS = WHITE_SPACE.encode()
 _INNER = bytes(range(0x80, 0xC0))
@@ -127,7 +127,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     on), or its word distance most_word_distance (from least_words words on); a distance that isn't measured is null. Null, empty and blank texts have no words and fail the base rules.
     Repeated rows and null ids are rows like others; an empty table gives none.
     """
-    numbered = docs.withColumn("_key", F.monotonically_increasing_id() if key is None else key)
+    numbered = docs.withColumn("_key", row_number() if key is None else key)
     own = F.when(F.col(lang_col).isin(*COMMON), F.col(lang_col)).otherwise("")
     pairs = numbered.select(F.struct(F.col(id_col).alias("id"), F.col("_key").alias("key")).alias("key"), own.alias("lang"), whole_text(text_col).cast("binary").alias("text"))
     kind = pairs.schema["key"].dataType.simpleString()
@@ -153,5 +153,5 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def of_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs that quality_rules keeps; the columns stay as they are."""
-    dropped = quality_rules(docs, id_col, text_col, lang_col).where("not kept").select("_key")
-    return docs.withColumn("_key", F.monotonically_increasing_id()).join(dropped, "_key", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    docs = steady(docs)
+    return without_rows(docs, quality_rules(docs, id_col, text_col, lang_col).where("not kept"))
