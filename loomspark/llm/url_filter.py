@@ -156,7 +156,7 @@ def _split(url: str) -> tuple[str, str]:
 
 #: Seeds for labelled urls: words that hosts of unwanted sites are put together from, and syllables of ordinary names.
 UNWANTED = ("ads", "adult", "bets", "bonus", "casino", "cheap", "click", "cialis", "crypto", "dating", "deals", "farm", "free", "hot", "loan", "lotto", "pills", "poker", "prize", "replica", "seo", "slots", "spam", "track", "viagra", "warez", "win", "x", "xxx")
-ORDINARY = ("al", "an", "ber", "cor", "den", "el", "er", "for", "gar", "hen", "in", "ka", "lor", "ma", "nor", "on", "pa", "re", "sta", "the", "ti", "ton", "un", "ver", "wh", "wil", "yo")
+ORDINARY = ("al", "an", "ber", "cor", "den", "el", "er", "for", "gar", "hen", "in", "ka", "lor", "ly", "ma", "nd", "ng", "nor", "nt", "on", "ou", "pa", "re", "sh", "st", "sta", "th", "the", "ti", "ton", "un", "ver", "wh", "wil", "yo")
 
 
 def labelled_urls(per_label: int = 2000, seed: int = 7) -> list[tuple[str, int]]:
