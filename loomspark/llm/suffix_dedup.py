@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, whole_text, written
+from .common import map_batches, row_number, steady, whole_text, written
 
 LENGTH, K = 50, 16
 SPAN = LENGTH - K + 1  # k-byte strings in a window
 HALF = (LENGTH - K) // 2  # a window reaches so far to the left of its anchor, or further than that to its right
-#: Text that a map task samples at once, and how many buckets samples are dealt to.
-AT_ONCE, BUCKETS = 4 << 20, 1024
+#: Text that a map task samples at once.
+AT_ONCE = 4 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -100,21 +100,31 @@ def cells(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
     return {"doc": owner[first], "a": a, "b": b, "p": p, "key": grams[p], "cell": hashed.of(a, b + LENGTH), "left": left, "right": right}
 
 
-_PARTS = (("high", "u4"), ("low", "u2"), ("cell", "u4"), ("left", "u2"), ("right", "u2"), ("doc", "u2"), ("p", "u4"), ("before", "u1"), ("after", "u1"))
+_PARTS = (("high", "u4"), ("low", "u2"), ("cell", "u4"), ("left", "u1"), ("right", "u1"), ("doc", "u2"), ("p", "u4"), ("before", "u1"), ("after", "u1"))
+
+
+def _short(x: np.ndarray) -> tuple[int, int, bytes]:
+    """Base, width and bytes of whole numbers, in four bytes each above their least where that is enough."""
+    base = int(x.min())
+    width = 4 if int(x.max()) - base < 1 << 32 else 8
+    return (base, 4, (x - base).astype("u4").tobytes()) if width == 4 else (0, 8, x.astype("i8").tobytes())
 
 
 def _packed(rows: dict[str, np.ndarray], ords: np.ndarray, keys: np.ndarray) -> bytes:
-    return b"".join([np.array([len(rows["p"]), len(ords)], dtype="i8").tobytes(), ords.tobytes(), keys.tobytes(), *(rows[n].astype(t).tobytes() for n, t in _PARTS)])
+    (a, m, o), (b, n, k) = _short(ords), _short(keys)
+    return b"".join([np.array([len(rows["p"]), len(ords), a, m, b, n], dtype="i8").tobytes(), o, k, *(rows[n].astype(t).tobytes() for n, t in _PARTS)])
 
 
 def _unpacked(blob: bytes) -> dict[str, np.ndarray]:
-    n, docs = np.frombuffer(blob, dtype="i8", count=2).tolist()
-    ords, keys = np.frombuffer(blob, dtype="i8", count=2 * docs, offset=16).reshape(2, docs)
-    at, out = 16 + 16 * docs, {}
+    n, docs, a, m, b, w = np.frombuffer(blob, dtype="i8", count=6).tolist()
+    at, out, ends = 48, {}, []
+    for base, width in ((a, m), (b, w)):
+        ends.append(np.frombuffer(blob, dtype=f"u{width}" if width == 4 else "i8", count=docs, offset=at).astype("i8") + base)
+        at += width * docs
     for name, kind in _PARTS:
         out[name] = np.frombuffer(blob, dtype=kind, count=n, offset=at)
         at += out[name].nbytes
-    return out | {"ord": ords[out["doc"]], "row": keys[out["doc"]]}
+    return out | {"ord": ends[0][out["doc"]], "row": ends[1][out["doc"]]}
 
 
 def _stretches(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +146,7 @@ def _stretches(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
 _SETTLED = "bucket int, blob binary"
 
 
-def _sampled(batches):
+def _sampled(batches, buckets: int):
     """Cells as blobs by bucket. Of cells with equal anchor and content only the one of the smallest id is sent on; the
     others are settled here, and sent as stretches with the bucket's number below zero."""
     held: list[tuple[int, int, bytes]] = []
@@ -160,12 +170,12 @@ def _sampled(batches):
         shift = edges[doc] - starts[doc]  # a text's place in the buffer, less that of the buffer's part in the text
         if len(later):
             rows, s, e = _stretches(keys[doc[later]], found["a"][later] - shift[later], found["b"][later] + LENGTH - shift[later])
-            yield -1 - int(keys[0] % BUCKETS), np.stack([rows, s, e]).astype("i8").tobytes()
+            yield -1 - int(keys[0] % buckets), np.stack([rows, s, e]).astype("i8").tobytes()
         keep = np.sort(order[ord_of[order] == least])
         rows = {n: x[keep] for n, x in found.items()}
         p = rows["p"].astype("i8")
-        rows |= {"high": rows["key"] >> _U(16) & _U(0xFFFFFFFF), "low": rows["key"] & _U(0xFFFF), "cell": rows["cell"] & _U(0xFFFFFFFF), "left": rows["left"] & _U(0xFFFF), "right": rows["right"] & _U(0xFFFF), "before": p - rows["a"].astype("i8"), "after": rows["b"].astype("i8") + LENGTH - p - K, "p": p - shift[keep]}
-        bucket = (rows["key"] >> _U(48)).astype("i8") % BUCKETS
+        rows |= {"high": rows["key"] >> _U(16) & _U(0xFFFFFFFF), "low": rows["key"] & _U(0xFFFF), "cell": rows["cell"] & _U(0xFFFFFFFF), "left": rows["left"] >> _U(56) | (rows["left"] > 0), "right": rows["right"] >> _U(56) | (rows["right"] > 0), "before": p - rows["a"].astype("i8"), "after": rows["b"].astype("i8") + LENGTH - p - K, "p": p - shift[keep]}
+        bucket = (rows["key"] >> _U(48)).astype("i8") % buckets
         by = np.argsort(bucket, kind="stable")
         for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else ():
             used, at = np.unique(rows["doc"][part], return_inverse=True)
@@ -246,7 +256,7 @@ def _settled(batches):
             several = (np.maximum.reduceat(c, start) > np.minimum.reduceat(c, start)) & (np.maximum.reduceat(o, start) > np.minimum.reduceat(o, start))
             open_[some[np.repeat(several, np.diff(np.append(start, len(some))))]] = True
         if open_.any():
-            yield rows(1, x["row"][open_], x["ord"][open_], a[open_], x["p"][open_], e[open_], (anchor[open_] << _U(10) | _U(bucket % 1024)).view("i8"))
+            yield rows(1, x["row"][open_], x["ord"][open_], a[open_], x["p"][open_], e[open_], (anchor[open_] << _U(16) | _U(bucket % 65536)).view("i8"))
 
 
 # --- cells that differ: sorted suffixes ----------------------------------------------------------------------------
@@ -389,18 +399,19 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
     last = F.lit((1 << 63) - 1)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), last).alias("ord"), whole_text(text_col).cast("binary").alias("text"))
+    rows = steady(docs).select(row_number().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), last).alias("ord"), whole_text(text_col).cast("binary").alias("text"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    sampled = map_batches(rows.select("row", "ord", "text"), _sampled, _SETTLED).repartition(width, "bucket")
+    sampled = map_batches(rows.select("row", "ord", "text"), lambda batches: _sampled(batches, 2 * width), _SETTLED).repartition(width, "bucket")
     state = written(map_batches(sampled, _settled, "kind int, row long, ord long, a long, p long, e long, anchor long"), "suffix-cells")
     del sampled
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # lets go of the samples' shuffle files, which are the largest
 
+    # Both joins shuffle the same columns of the texts by row, so that one shuffle serves both.
     asked = state.where("kind = 1").groupBy("row").agg(F.collect_list(F.struct("ord", "a", "p", "e", "anchor")).alias("asked"))
     texts = rows.select("row", "id", "text")
-    contents = map_batches(texts.join(asked.hint("shuffle_hash"), "row").select("row", "text", "asked"), _cut_out, "row long, ord long, a long, before long, anchor long, content binary")
+    contents = map_batches(texts.join(asked.hint("shuffle_hash"), "row").select("row", "id", "text", "asked"), _cut_out, "row long, ord long, a long, before long, anchor long, content binary")
     compared = map_batches(contents.repartition(width, "anchor"), _compared_cells, "row long, a long, e long")
     cut = state.where("kind = 0").select("row", "a", "e").union(compared).groupBy("row").agg(F.collect_list(F.struct("a", "e")).alias("cut"))
     whole = texts.join(cut.hint("shuffle_hash"), "row", "left").select("id", "text", "cut")
