@@ -490,8 +490,8 @@ def residual_simple(spark, sf):
 
 
 @query("""
-WITH s AS (SELECT avg(l_quantity) AS a, stddev_pop(l_quantity) AS sa, avg(l_extendedprice) AS b, stddev_pop(l_extendedprice) AS sb FROM lineitem)
-SELECT l_orderkey, l_linenumber, round(((l_quantity - a) / sa + (l_extendedprice - b) / sb) / 2, 5) + 0 AS score FROM lineitem, s
+WITH s AS (SELECT avg(l_quantity) AS a, stddev_pop(l_quantity) AS sa, avg(l_extendedprice) AS b, stddev_pop(l_extendedprice) AS sb, CASE WHEN corr(l_quantity, l_extendedprice) < 0 THEN -1 ELSE 1 END AS sign FROM lineitem)
+SELECT l_orderkey, l_linenumber, round(((l_quantity - a) / sa + sign * (l_extendedprice - b) / sb) / 2, 5) + 0 AS score FROM lineitem, s
 """)
 def group_score(spark, sf):
     df = table(spark, sf, "lineitem")
