@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_type, map_batches, whole_text, written
+from .common import id_type, map_batches, row_number, steady, whole_text, without_rows, written
 from .components import components
 
 _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
@@ -71,6 +71,10 @@ def _anchors(half: int) -> tuple[str, str, str]:
     return word, home, f"concat(array(h{half}, h{half} ^ {1 << BITS}L), {pairs})"
 
 
+def _of_half(half: int):
+    return lambda anchor: F.struct(F.lit(half).alias("half"), anchor.alias("anchor"))
+
+
 def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
     """(u, v) links between distinct fingerprints (fp) that give the same components as all pairs within threshold bits.
 
@@ -91,7 +95,7 @@ def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
     each = each.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("class", F.coalesce("root", "fp"))
 
     homes = each.select("fp", "class", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.col(f"h{h}").alias("anchor")) for h in (0, 1)))).alias("k")).select("fp", "class", "k.*")
-    visits = each.select("fp", "class", F.explode(F.concat(*(F.transform(f"a{h}", lambda a, h=h: F.struct(F.lit(h).alias("half"), a.alias("anchor"))) for h in (0, 1)))).alias("k")).select(F.col("fp").alias("other"), F.col("class").alias("class2"), "k.*")
+    visits = each.select("fp", "class", F.explode(F.concat(*(F.transform(f"a{h}", _of_half(h)) for h in (0, 1)))).alias("k")).select(F.col("fp").alias("other"), F.col("class").alias("class2"), "k.*")
     close = (homes["half"] == visits["half"]) & (homes["anchor"] == visits["anchor"]) & (F.col("fp") > F.col("other")) & (F.col("class") != F.col("class2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= threshold)
     apart = homes.join(visits, close).select(F.col("class").alias("u"), F.col("class2").alias("v"))
     return starred.union(apart.where("u <> v").distinct())
@@ -105,7 +109,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id that links reach (nulls last). first marks one row of each component, that of the smallest id and then _key, so
     that of repeated rows one is first. An empty table gives none.
     """
-    rows = written(fingerprints(docs, id_col, text_col, F.monotonically_increasing_id() if key is None else key, words_in_shingle, seed), "simhash")
+    rows = written(fingerprints(docs, id_col, text_col, row_number() if key is None else key, words_in_shingle, seed), "simhash")
     classes = components(links(rows.select("fp").distinct(), threshold))
     of = rows.select("fp").distinct().join(classes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("class"))
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
@@ -124,5 +128,5 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each component; the columns stay as they are."""
-    dropped = simhash_groups(docs, id_col, text_col).where("not first").select("_key")
-    return docs.withColumn("_key", F.monotonically_increasing_id()).join(dropped, "_key", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    docs = steady(docs)
+    return without_rows(docs, simhash_groups(docs, id_col, text_col).where("not first"))
