@@ -12,7 +12,6 @@ the anchor, hashes which agree to the left, and the bytes themselves are compare
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from functools import cmp_to_key
 from itertools import accumulate
@@ -28,7 +27,7 @@ LENGTH, K = 50, 16
 SPAN = LENGTH - K + 1  # k-byte strings in a window
 HALF = (LENGTH - K) // 2  # a window reaches so far to the left of its anchor, or further than that to its right
 #: Text that a map task samples at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -404,9 +403,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     sampled = map_batches(rows.select("row", "ord", "text"), lambda batches: _sampled(batches, 2 * width), _SETTLED).repartition(width, "bucket")
     state = written(map_batches(sampled, _settled, "kind int, row long, ord long, a long, p long, e long, anchor long"), "suffix-cells")
-    del sampled
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets go of the samples' shuffle files, which are the largest
 
     # Both joins shuffle the same columns of the texts by row, so that one shuffle serves both.
     asked = state.where("kind = 1").groupBy("row").agg(F.collect_list(F.struct("ord", "a", "p", "e", "anchor")).alias("asked"))
