@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, whole_text, written
+from .common import WHITE_SPACE, row_number, steady, whole_text, without_rows, written
 
 #: Bits in one row of the bitmap; fixed by bitmap_construct_agg, which returns 4096 bytes.
 ROW_BITS = 32768
@@ -43,11 +43,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     norm, text = normalised(text_col), whole_text(text_col)
     length, prefix = F.octet_length(norm), F.xxhash64(F.substring(norm, 1, prefix_chars))
     # The id of a row within its scan: the same in both passes, since both read the same splits.
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = steady(docs).withColumn("_row", row_number())
 
     keys = written(numbered.select(length.alias("_len"), prefix.alias("_pre")), "exact-keys")
-    same_length = keys.groupBy("_len").count().where("count > 1").select("_len")
-    same_prefix = keys.join(same_length, "_len", "left_semi").groupBy("_len", "_pre").count().where("count > 1")
+    # Rows are counted by length and prefix before they are shuffled, so that a frequent length is a few rows only.
+    counts = keys.groupBy("_len", "_pre").count()
+    same_length = counts.groupBy("_len").agg(F.sum("count").alias("rows")).where("rows > 1").select("_len")
+    same_prefix = counts.where("count > 1").join(same_length, "_len", "left_semi")
     slot = F.pmod(F.xxhash64("_len", "_pre"), F.lit(bitmap_bits))
     bitmap = F.broadcast(_bitmap(same_prefix.select(slot.alias("_slot"))))
 
@@ -78,6 +80,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs less the rows that exact_dedup drops; the columns stay as they are."""
-    marked = exact_dedup(docs, id_col, text_col, {"_key": F.monotonically_increasing_id()})
-    dropped = marked.where("not kept").select("_key")
-    return docs.withColumn("_key", F.monotonically_increasing_id()).join(dropped, "_key", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    docs = steady(docs)
+    return without_rows(docs, exact_dedup(docs, id_col, text_col, {"_key": row_number()}).where("not kept"))
