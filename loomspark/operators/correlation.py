@@ -7,8 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from ..functions import exprs as E
 from ..functions import stats
+from ..sources.shared import written
 from .similarity import spearman
 
 
@@ -43,3 +47,23 @@ def rank_groups(df: DataFrame, columns: Sequence[str], threshold: float = 0.9, l
             if strength[i, j] > 0:
                 closest[columns[i]] = {"closest": columns[j], "rho": float(s.r[i, j]), "shared": int(s.n[i, j]), "q": float(q.get((min(i, j), max(i, j)), np.nan))}
     return groups, closest
+
+
+def adjusted(df: DataFrame, p: str, name: str) -> DataFrame:
+    """df with Benjamini-Hochberg values of its rows' p, as stats.benjamini_hochberg gives them; null and NaN give null.
+
+    Equal p have equal values, so that only distinct p are ranked. They are dealt out by ranges; of each range only its
+    count and its least value are brought together.
+    """
+    value = E.c(p).cast("double")
+    counts = df.where(value.isNotNull() & ~F.isnan(value)).groupBy(value.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    # Written, so that both passes see the same ranges.
+    ranged = written(counts.repartitionByRange("_p").withColumn("_part", F.spark_partition_id()), "adjusted")
+    parts = W.orderBy("_part")
+    starts = ranged.groupBy("_part").agg(F.sum("_n").alias("_rows")).select("_part", F.coalesce(F.sum("_rows").over(parts.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"), F.sum("_rows").over(W.partitionBy(F.lit(0))).alias("_m"))
+    rank = F.col("_start") + F.sum("_n").over(W.partitionBy("_part").orderBy("_p").rowsBetween(W.unboundedPreceding, 0))
+    raw = ranged.join(F.broadcast(starts), "_part").select("_part", "_p", (F.col("_p") * F.col("_m") / rank).alias("_raw"))
+    later = raw.groupBy("_part").agg(F.min("_raw").alias("_least")).select("_part", F.min("_least").over(parts.rowsBetween(1, W.unboundedFollowing)).alias("_later"))
+    least = F.min("_raw").over(W.partitionBy("_part").orderBy("_p").rowsBetween(0, W.unboundedFollowing))
+    found = raw.join(F.broadcast(later), "_part").select("_p", F.least(F.lit(1.0), least, "_later").alias("_q"))
+    return df.join(found, value == F.col("_p"), "left").select(*map(E.c, df.columns), F.col("_q").alias(name))

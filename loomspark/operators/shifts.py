@@ -31,13 +31,11 @@ def group_count(df: DataFrame, by: Sequence[str], day: str, value: str) -> DataF
 
 def count_groups(day: np.ndarray, code: np.ndarray) -> int:
     """group_count() of one column in memory; day and code from 0 up."""
-    pairs = np.unique(np.column_stack([day, code]), axis=0)
-    days = np.unique(day)
-    place = {int(d): k for k, d in enumerate(days)}
-    held: dict[int, set[int]] = {}
-    for d, c in pairs.tolist():
-        held.setdefault(place[d], set()).add(c)
-    return len(pairs) - sum(bool(held[k] & held[k - 1]) for k in range(1, len(days)))
+    days, place = np.unique(day, return_inverse=True)
+    width = int(code.max()) + 1 if len(code) else 1
+    pairs = np.unique(place.reshape(-1).astype("i8") * width + code)
+    carried = pairs[np.isin(pairs - width, pairs)] // width
+    return len(pairs) - len(np.unique(carried))
 
 
 def segments(day: np.ndarray, code: np.ndarray) -> list[list[int]]:

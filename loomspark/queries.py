@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import exprs as E
-from .operators import clean, cohort, corrections, decorrelate, derive, encode, enrich, merge, missingness, screening, shifts, similarity, windows
+from .operators import clean, cohort, correlation, corrections, decorrelate, derive, encode, enrich, merge, missingness, screening, shifts, similarity, windows
 from .operators.vocabulary import Vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -282,11 +282,22 @@ SELECT 'p_type' AS "column", p_type AS value, 'A' AS only_at, 'B' AS not_at FROM
 UNION ALL SELECT 'p_type', p_type, 'B', 'A' FROM (SELECT DISTINCT p_type FROM part WHERE p_partkey < 3 EXCEPT SELECT DISTINCT p_type FROM part WHERE p_size % 2 = 0)
 """)
 def category_diff(spark, sf):
+    """Of the two sites that its SQL names; category_diff_whole has sites that share out all parts."""
     part = table(spark, sf, "part")
     rows = clean.category_differences({"A": part.where("p_size % 2 = 0"), "B": part.where("p_partkey < 3")}, ["p_type"])
     return spark.createDataFrame([tuple(x.values()) for x in rows], "column string, value string, only_at string, not_at string")
 
 
+@query("""
+SELECT 'p_name' AS "column", p_name AS value, 'A' AS only_at, 'B' AS not_at FROM (SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 0 EXCEPT SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 1)
+UNION ALL SELECT 'p_name', p_name, 'B', 'A' FROM (SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 1 EXCEPT SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 0)
+""")
+def category_diff_whole(spark, sf):
+    part = table(spark, sf, "part")
+    rows = clean.category_differences({"A": part.where("p_size % 2 = 0"), "B": part.where("p_size % 2 = 1")}, ["p_name"])
+    return spark.createDataFrame([tuple(x.values()) for x in rows], "column string, value string, only_at string, not_at string")
+
+
 @query("SELECT column_name AS parameter, CAST(present AS BIGINT) AS present, round(100.0 * (n - present) / n, 4) AS missing_pct, CAST(distinct_values AS BIGINT) AS distinct_values FROM (SELECT count(*) AS n, count(nullif(l_tax, 0)) AS present, count(DISTINCT nullif(l_tax, 0)) AS distinct_values, 'tax' AS column_name FROM lineitem UNION ALL SELECT count(*), count(nullif(l_discount, 0)), count(DISTINCT nullif(l_discount, 0)), 'discount' FROM lineitem)")
 def quality_rows(spark, sf):
     """Present, missing and distinct values of each column, in one pass."""
@@ -458,16 +469,26 @@ def spearman_pairs(spark, sf):
     return spark.createDataFrame([(a, b, round(p.of(a, b), 6) + 0.0) for a, b in _PAIRS[:3]], "a string, b string, rho double")
 
 
+def _adjusted(part):
+    p = part.select("p_partkey", ((F.col("p_partkey") % 97 + 1) / 100).alias("p"))
+    return correlation.adjusted(p, "p", "q").select("p_partkey", r("q").alias("q"))
+
+
 @query("""
 WITH p AS (SELECT p_partkey, (p_partkey % 97 + 1) / 100.0 AS p FROM part WHERE p_partkey < 500), k AS (SELECT *, row_number() OVER (ORDER BY p DESC, p_partkey) AS d, count(*) OVER () AS m FROM p)
 SELECT p_partkey, round(least(1.0, min(p * m / (m - d + 1)) OVER (ORDER BY d)), 6) AS q FROM k
 """)
 def bh_adjust(spark, sf):
-    from .functions import stats
+    """Of the parts that its SQL names; bh_adjust_whole has all of them."""
+    return _adjusted(table(spark, sf, "part").where("p_partkey < 500"))
+
 
-    rows = table(spark, sf, "part").where("p_partkey < 500").select("p_partkey").orderBy("p_partkey").collect()
-    q = stats.benjamini_hochberg([(x[0] % 97 + 1) / 100 for x in rows])
-    return spark.createDataFrame([(x[0], round(float(y), 6)) for x, y in zip(rows, q)], "p_partkey long, q double")
+@query("""
+WITH p AS (SELECT p_partkey, (p_partkey % 97 + 1) / 100.0 AS p FROM part), k AS (SELECT *, row_number() OVER (ORDER BY p DESC, p_partkey) AS d, count(*) OVER () AS m FROM p)
+SELECT p_partkey, round(least(1.0, min(p * m / (m - d + 1)) OVER (ORDER BY d)), 6) AS q FROM k
+""")
+def bh_adjust_whole(spark, sf):
+    return _adjusted(table(spark, sf, "part"))
 
 
 @query("SELECT 'flat' AS parameter")
@@ -512,32 +533,39 @@ def median_impute(spark, sf):
 
 # --- over time -----------------------------------------------------------------------------------------------------
 
-_DAYS = "SELECT DISTINCT user_id % 6 AS s, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d, (datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 4) * 10 + user_id % 2 AS v FROM events WHERE user_id % 5 = 0"
+_DAYS = "SELECT DISTINCT user_id % 6 AS s, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d, (datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 4) * 10 + user_id % 2 AS v FROM events"
+_GROUPS = """
+WITH p AS ({days}), days AS (SELECT s, d, lag(d) OVER (PARTITION BY s ORDER BY d) AS before FROM (SELECT DISTINCT s, d FROM p)),
+h AS (SELECT s, v, d, lag(d) OVER (PARTITION BY s, v ORDER BY d) AS held FROM p),
+c AS (SELECT s, count(DISTINCT d) AS n FROM h JOIN days USING (s, d) WHERE held = before GROUP BY s)
+SELECT s, count(*) - coalesce(any_value(n), 0) AS groups FROM p LEFT JOIN c USING (s) GROUP BY s
+"""
 
 
-def _daily(spark, sf):
+def _daily(events):
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
-    return table(spark, sf, "events").where("user_id % 5 = 0").select((F.col("user_id") % 6).alias("s"), day.alias("d"), (F.floor(day / 4) * 10 + F.col("user_id") % 2).alias("v"))
+    return events.select((F.col("user_id") % 6).alias("s"), day.alias("d"), (F.floor(day / 4) * 10 + F.col("user_id") % 2).alias("v"))
 
 
-@query(f"""
-WITH p AS ({_DAYS}), days AS (SELECT s, d, lag(d) OVER (PARTITION BY s ORDER BY d) AS before FROM (SELECT DISTINCT s, d FROM p)),
-h AS (SELECT s, v, d, lag(d) OVER (PARTITION BY s, v ORDER BY d) AS held FROM p),
-c AS (SELECT s, count(DISTINCT d) AS n FROM h JOIN days USING (s, d) WHERE held = before GROUP BY s)
-SELECT s, count(*) - coalesce(any_value(n), 0) AS groups FROM p LEFT JOIN c USING (s) GROUP BY s
-""")
+@query(_GROUPS.format(days=f"{_DAYS} WHERE user_id % 5 = 0"))
 def shift_counts(spark, sf):
-    return shifts.group_count(_daily(spark, sf), ["s"], "d", "v")
+    """Of the users that its SQL names; shift_counts_whole has all of them."""
+    return shifts.group_count(_daily(table(spark, sf, "events").where("user_id % 5 = 0")), ["s"], "d", "v")
+
+
+@query(_GROUPS.format(days=_DAYS))
+def shift_counts_whole(spark, sf):
+    return shifts.group_count(_daily(table(spark, sf, "events")), ["s"], "d", "v")
 
 
 @query()
 def shift_segments(spark, sf):
-    return shifts.segment_rows(_daily(spark, sf), "s", "d", "v")
+    return shifts.segment_rows(_daily(table(spark, sf, "events")), "s", "d", "v")
 
 
 @query()
 def shift_tests(spark, sf):
-    df = table(spark, sf, "events").select("ts", (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 5).cast("int").alias("lot"), F.col("event_type").alias("kind"), (F.col("user_id") % 2).alias("plant")).where("user_id % 25 = 0")
+    df = table(spark, sf, "events").select("ts", (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 5).cast("int").alias("lot"), F.col("event_type").alias("kind"), (F.col("user_id") % 2).alias("plant"))
     return shifts.tested(df, ["lot", "kind"], "ts", "plant").select("plant", "column", "values", "days", "groups", F.round("p", 6).alias("p"), "kept")
 
 

@@ -301,3 +301,38 @@ def test_register(spark):
     assert screening.digest(log) != screening.digest(log[:1])
     due = screening.review(screening.frame(spark, log), sites, spark.createDataFrame([("a", "North", 50.0)], "parameter string, site string, missing_pct double"), dt.date(2026, 5, 1))
     assert values(due, "parameter", "due", "drifted") == [("a", True, False)]
+
+
+# --- whole inputs --------------------------------------------------------------------------------------------------
+
+
+def test_queries_see_all_rows(spark, sf):
+    from loomspark import queries
+
+    part, events = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("part", "events"))
+    # More parts than the 499 that bh_adjust's SQL names.
+    assert queries.bh_adjust_whole(spark, "/root/testdata/sf0.01").count() == spark.read.parquet("/root/testdata/sf0.01/part.parquet").count() > 499
+    assert queries.shift_tests(spark, sf).where("column = 'kind'").agg(F.sum("values")).first()[0] == events.where("ts is not null and event_type is not null").count()
+    days = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    bounds = {r[0]: (r[1], r[2]) for r in events.groupBy((F.col("user_id") % 6).cast("string")).agg(F.min(days), F.max(days)).collect()}
+    assert {r[0]: (r[1], r[2]) for r in queries.shift_segments(spark, sf).groupBy("key").agg(F.min("first"), F.max("last")).collect()} == bounds
+    assert queries.shift_segments(spark, sf).count() == queries.shift_counts_whole(spark, sf).agg(F.sum("groups")).first()[0]
+    assert part.where("p_size % 2 = 0").count() + part.where("p_size % 2 = 1").count() == part.count()
+
+
+def test_adjusted_by_ranges_as_in_memory(spark):
+    rng = np.random.default_rng(3)
+    p = [*np.round(rng.random(3000) ** 2, 3).tolist(), math.nan, None]
+    got = {r["i"]: r["q"] for r in correlation.adjusted(spark.createDataFrame(list(enumerate(p)), "i int, p double").repartition(5), "p", "q").collect()}
+    want = stats.benjamini_hochberg([math.nan if x is None else x for x in p])
+    assert len(got) == len(p) and got[3000] is None and got[3001] is None
+    assert [got[i] for i in range(3000)] == pytest.approx(want[:3000].tolist(), abs=1e-12)
+
+
+def test_count_groups_of_many_rows():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        day, code = rng.integers(0, 9, 40), rng.integers(0, 6, 40)
+        held = {d: set(code[day == d].tolist()) for d in sorted(set(day.tolist()))}
+        sets = list(held.values())
+        assert shifts.count_groups(day, code) == sum(map(len, sets)) - sum(bool(a & b) for a, b in zip(sets, sets[1:]))
