@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as E
 from ..sources.shared import written
+from .components import components
 
 OPERATORS = ("equals", "not_equals", "in", "not_in", "min", "max", "is_null", "not_null")
 
@@ -171,29 +172,16 @@ def grouping_units(df: DataFrame, group: str | None, patient: str | None) -> Dat
     """df with _unit: rows of one group or one patient, however linked, share it. Null groups are one group, "(missing)";
     a null patient links nothing. The label is the names of the unit's groups, joined by "+".
 
-    Labels spread along distinct (group, patient) pairs, from the smallest on, until nothing changes.
+    Distinct (group, patient) pairs are links, whose components are found in a number of rounds that grows with the
+    logarithm of the longest chain.
     """
     g = F.coalesce(E.key_text(group), F.lit("(missing)")) if group else F.lit("(all)")
     if not patient:
         return df.withColumn("_unit", g)
-    pairs = df.select(g.alias("g"), E.key_text(patient).alias("p")).distinct()
-    linked = pairs.where("p is not null").cache()
-    labels = pairs.select("g").distinct().withColumn("root", F.col("g"))
-    for _ in range(100):
-        by_patient = linked.join(labels, "g").groupBy("p").agg(F.min("root").alias("root"))
-        spread = linked.join(by_patient, "p").groupBy("g").agg(F.min("root").alias("near"))
-        new = labels.join(spread, "g", "left").select("g", F.least("root", "near").alias("root"), (F.col("near") < F.col("root")).alias("moved"))
-        rows = new.collect() if new.count() <= 10_000 else None
-        if rows is not None:  # few groups: finished lineage, no growing plan
-            moved = any(r["moved"] for r in rows)
-            labels = df.sparkSession.createDataFrame([(r["g"], r["root"]) for r in rows] or [], "g string, root string")
-        else:
-            new = written(new, "units")
-            moved = bool(new.where("moved").limit(1).count())
-            labels = new.select("g", "root")
-        if not moved:
-            break
-    linked.unpersist()
+    pairs = written(df.select(g.alias("g"), E.key_text(patient).alias("p")).distinct(), "units")
+    roots = components(pairs.where("p is not null").select(F.concat(F.lit("g"), "g").alias("u"), F.concat(F.lit("p"), "p").alias("v")))
+    of = roots.where(F.startswith("node", F.lit("g"))).select(F.substring("node", 2, 1 << 30).alias("g"), "root")
+    labels = pairs.select("g").distinct().join(of, "g", "left").select("g", F.coalesce("root", F.concat(F.lit("g"), "g")).alias("root"))
     names = labels.groupBy("root").agg(F.array_join(F.array_sort(F.collect_set("g")), "+").alias("_unit"))
     named = labels.join(names, "root").select("g", "_unit")
     return df.withColumn("_g", g).join(named.withColumnRenamed("g", "_g"), "_g", "left").drop("_g")
