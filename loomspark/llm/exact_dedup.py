@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from .common import WHITE_SPACE, row_number, steady, whole_text, without_rows, written
 
 #: Bits in one row of the bitmap; fixed by bitmap_construct_agg, which returns 4096 bytes.
@@ -38,7 +39,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts are equal when identical after deleting all of [\\x20\\x09-\\x0D]; a null text counts as empty, so null, empty
     and blank texts form one group. The row with the most code points in its original text stays, then the smallest id;
     a null id comes after all others. Of repeated rows (same id and text) the first one read stays. An empty table
-    gives an empty result. Other columns of docs don't matter. The broadcast bitmap has bitmap_bits / 8 bytes at most.
+    gives an empty result. Other columns of docs don't matter. A text of any length is hashed where it is read, so that
+    it costs its own task a pass over it and no shuffle. The broadcast bitmap has bitmap_bits / 8 bytes at most.
     """
     norm, text = normalised(text_col), whole_text(text_col)
     length, prefix = F.octet_length(norm), F.xxhash64(F.substring(norm, 1, prefix_chars))
@@ -64,11 +66,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(rows, "exact-rows")
 
     order = F.struct((-F.col("_chars")).alias("chars"), F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    groups = rows.where("_full is not null").groupBy("_full").agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_best")).where("_n > 1")
-    # Rows without a full hash would all be dealt to one task; they are known to be alone.
+    groups = written(rows.where("_full is not null").groupBy("_full").agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_best")).where("_n > 1"), "exact-groups")
+    # Rows without a full hash are known to be alone; of the others, a large group's rows are found by a broadcast.
     alone = rows.where("_full is null").withColumns({"_n": F.lit(None).cast("long"), "_best": F.lit(None).cast(groups.schema["_best"].dataType)})
-    # A group's row is unique, so that a hot group is a skewed join which adaptive execution splits.
-    shared = rows.where("_full is not null").join(groups, "_full", "left").select(alone.columns)
+    shared = hot_join(rows.where("_full is not null"), groups, ["_full"], "_n", "left").select(alone.columns)
     return alone.union(shared).select(
         F.col("_id").alias(id_col),
         F.when(F.col("_n").isNull(), F.col("_id")).otherwise(F.col("_best.id")).alias("keep_id"),

@@ -4,7 +4,8 @@ Of two fingerprints that differ in at most three bits, one 32-bit half differs i
 are the words of the Hamming code of length 31, radius 1, with the last bit free: every half word is within one bit of
 exactly one anchor, its home. A fingerprint is replicated to all anchors within radius plus threshold, two bits; so the
 home of one of the two is among the anchors of the other, and they are compared there. Only distinct fingerprints take
-part, and those that one cheap key already joins aren't paired again, so that a large group of copies stays linear.
+part, and those that one cheap key joins into a class need no more comparing: within an anchor, members of the class
+that most of its homes have are never paired with each other, so that a large group of copies stays linear.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
+from ..operators.skew import hot_join
 from .common import id_type, map_batches, row_number, steady, whole_text, without_rows, written
-from .components import components
 
 _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
 #: Shingle hashes whose bits are counted at once.
@@ -75,6 +77,25 @@ def _of_half(half: int):
     return lambda anchor: F.struct(F.lit(half).alias("half"), anchor.alias("anchor"))
 
 
+_ANCHOR = ["half", "anchor"]
+
+
+def _cross_pairs(homes: DataFrame, visits: DataFrame, threshold: int) -> DataFrame:
+    """(u, v): classes of which a home (half, anchor, fp, class) and a visit (the same, other, class2) are close.
+
+    An anchor's main class is the one that most of its homes have. Visits of that class meet only homes of other
+    classes; visits of other classes meet all homes. So what isn't paired is one class at its own anchor, and anchors
+    where nobody is at home are left out before that.
+    """
+    counts = homes.groupBy(*_ANCHOR, "class").agg(F.count(F.lit(1)).alias("c"))
+    main = written(counts.groupBy(*_ANCHOR).agg(F.max_by("class", F.struct("c", "class")).alias("main"), (F.count(F.lit(1)) > 1).alias("mixed"), F.sum("c").alias("n")), "simhash-anchors")
+    guests = written(hot_join(visits, main, _ANCHOR, "n").where("class2 <> main or mixed"), "simhash-visits")
+    hosts = hot_join(homes, main.where("mixed"), _ANCHOR, "n").where("class <> main").select(homes.columns)
+    near = (F.col("class") != F.col("class2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= threshold)
+    pairs = homes.join(guests.where("class2 <> main"), _ANCHOR).where(near).select("class", "class2").union(hosts.join(guests.where("class2 = main"), _ANCHOR).where(near).select("class", "class2"))
+    return pairs.select(F.least("class", "class2").alias("u"), F.greatest("class", "class2").alias("v")).distinct()
+
+
 def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
     """(u, v) links between distinct fingerprints (fp) that give the same components as all pairs within threshold bits.
 
@@ -88,17 +109,16 @@ def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
     for half in (0, 1):
         word, home, near = _anchors(half)
         each = each.withColumn(f"w{half}", F.expr(word)).withColumn(f"s{half}", F.expr(f"cast({_syndrome(f'w{half}')} as int)")).withColumn(f"h{half}", F.expr(home)).withColumn(f"a{half}", F.expr(near))
-    keys = each.select("fp", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.col(f"w{h}").alias("same"), F.col(f"h{1 - h}").alias("home")) for h in (0, 1)))).alias("k"))
-    stars = keys.groupBy("k.half", "k.same", "k.home").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    starred = written(keys.join(stars, (F.col("k.half") == stars["half"]) & (F.col("k.same") == stars["same"]) & (F.col("k.home") == stars["home"])).where("fp <> v").select(F.col("fp").alias("u"), "v"), "simhash-stars")
+    keys = each.select("fp", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.col(f"w{h}").alias("same"), F.col(f"h{1 - h}").alias("home")) for h in (0, 1)))).alias("k")).select("fp", "k.*")
+    key = ["half", "same", "home"]
+    stars = written(keys.groupBy(key).agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-keys")
+    starred = written(hot_join(keys, stars, key, "n").where("fp <> v").select(F.col("fp").alias("u"), "v"), "simhash-stars")
     classes = components(starred)
     each = each.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("class", F.coalesce("root", "fp"))
 
     homes = each.select("fp", "class", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.col(f"h{h}").alias("anchor")) for h in (0, 1)))).alias("k")).select("fp", "class", "k.*")
     visits = each.select("fp", "class", F.explode(F.concat(*(F.transform(f"a{h}", _of_half(h)) for h in (0, 1)))).alias("k")).select(F.col("fp").alias("other"), F.col("class").alias("class2"), "k.*")
-    close = (homes["half"] == visits["half"]) & (homes["anchor"] == visits["anchor"]) & (F.col("fp") > F.col("other")) & (F.col("class") != F.col("class2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= threshold)
-    apart = homes.join(visits, close).select(F.col("class").alias("u"), F.col("class2").alias("v"))
-    return starred.union(apart.where("u <> v").distinct())
+    return starred.union(_cross_pairs(homes, visits, threshold))
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 3, words_in_shingle: int = 3, seed: int = 42, key: Column | None = None) -> DataFrame:
@@ -107,17 +127,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Words are what [\\x20\\x09-\\x0D] separates, A-Z lower-cased; with fewer words than a shingle has, all of them make one;
     without any (null, empty or blank text) the fingerprint is zero, linked like any other. component_id is the smallest
     id that links reach (nulls last). first marks one row of each component, that of the smallest id and then _key, so
-    that of repeated rows one is first. An empty table gives none.
+    that of repeated rows one is first. An empty table gives none. A very long text is hashed whole, 65,536 shingles at
+    a time. Frequent fingerprints, classes and keys meet what belongs to them by a broadcast of bounded size.
     """
     rows = written(fingerprints(docs, id_col, text_col, row_number() if key is None else key, words_in_shingle, seed), "simhash")
     classes = components(links(rows.select("fp").distinct(), threshold))
-    of = rows.select("fp").distinct().join(classes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("class"))
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
-    each = rows.groupBy("fp").agg(best.alias("b")).join(of, "fp")
-    whole = each.groupBy("class").agg(F.min("b").alias("best"))
-    # One row for each fingerprint on the right: a frequent fingerprint is a skewed join, which is split.
-    named = each.select("fp", "class").join(whole, "class").select("fp", "best")
-    return rows.join(named, "fp").select(
+    each = rows.groupBy("fp").agg(best.alias("b"), F.count(F.lit(1)).alias("n")).join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("class", F.coalesce("root", "fp"))
+    each = written(each.select("fp", "class", "b", "n"), "simhash-each")
+    whole = each.groupBy("class").agg(F.min("b").alias("best"), F.count(F.lit(1)).alias("members"))
+    named = written(hot_join(each.select("fp", "class", "n"), whole, ["class"], "members").select("fp", "best", "n"), "simhash-named")
+    return hot_join(rows, named, ["fp"], "n").select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("best.id").alias("component_id"),

@@ -6,7 +6,8 @@ from cases import ODD
 from oracle import expected, got
 from pyspark.sql import functions as F
 
-from loomspark.llm import components, exact_dedup, line_dedup, queries, simhash, suffix_dedup
+from loomspark.llm import exact_dedup, line_dedup, queries, simhash, suffix_dedup
+from loomspark.operators import components
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -80,24 +81,6 @@ def test_links_reach_every_pair_within_three_bits(spark):
     assert {f: root.get(f, f) for f in signed} == want
 
 
-def test_components_of_chains_and_stars(spark):
-    rng = random.Random(2)
-    pairs = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + k) for k in range(1, 80)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(5, 5), (None, 3)]
-    got_ = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(pairs, "u long, v long")).collect()}
-    parent = {}
-
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            x = parent[x]
-        return x
-
-    for u, v in pairs:
-        if u is not None and u != v:
-            a, b = sorted((find(u), find(v)))
-            parent[b] = a
-    assert got_ == {x: find(x) for x in list(parent)}
-
-
 def test_simhash_odd_rows(odd, empty):
     rows = simhash.simhash_groups(odd).collect()
     assert len(rows) == len(ODD) and simhash.simhash_groups(empty).count() == 0
