@@ -3,11 +3,13 @@ in a document with a smaller id.
 
 Not all suffixes are sorted, only sampled ones. Of the k-byte strings within a window of `length` bytes the one of least
 hash is the window's anchor; equal windows have equal anchors at equal places, so only windows of equal anchors need
-comparing. Neighbouring windows of one anchor make a cell. Cells of equal anchor and equal content are settled by hashes
-alone. Where cells of one anchor differ, as they do at the edges of what is shared, their suffixes from the anchor on are
-sorted by merging, two suffixes being compared through the longest common extension, which binary search over prefix
-polynomial hashes finds in logarithmic time. Neighbours' common prefixes then tell which windows agree to the right of
-the anchor, hashes which agree to the left, and the bytes themselves are compared before anything is removed.
+comparing. Neighbouring windows of one anchor make a cell. A suffix that occurs again with all of its cell needs no place
+of its own in the sorted order: cells of equal anchor whose bytes have equal BLAKE2b digests count as one, which the
+smallest id keeps. Where different cells of one anchor may share a window, as they do at the edges of what is shared,
+their suffixes from the anchor on are sorted by merging, two suffixes being compared through the longest common
+extension, which binary search over prefix polynomial hashes finds in logarithmic time. Neighbours' common prefixes then
+tell which windows agree to the right of the anchor, hashes which agree to the left, and the bytes are compared before
+anything is removed. So no polynomial hash removes a byte by itself.
 """
 
 from __future__ import annotations
@@ -21,13 +23,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from .common import map_batches, row_number, steady, whole_text, written
 
 LENGTH, K = 50, 16
 SPAN = LENGTH - K + 1  # k-byte strings in a window
 HALF = (LENGTH - K) // 2  # a window reaches so far to the left of its anchor, or further than that to its right
-#: Text that a map task samples at once.
-AT_ONCE = 2 << 20
+#: Text that a map task samples at once, and cells that a task compares at once.
+AT_ONCE, CELLS_AT_ONCE = 2 << 20, 20_000
+#: Text whose cells one task settles, about; and open cells that one compares.
+TASK_BYTES, TASK_CELLS = 16 << 20, 100_000
+#: Open cells that are sorted in one task; of larger groups, windows are compared by their digests, spread over tasks.
+LARGE_GROUP = 4096
+#: Bytes of a digest that tells cells apart.
+DIGEST = 12
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -63,14 +72,20 @@ class Hashed:
         return _mixed((self.prefix[end] - self.prefix[start]) * self.down[start])
 
 
+def digests(data: bytes, starts: list[int], ends: list[int]) -> np.ndarray:
+    """BLAKE2b of each stretch, as d0 (8 bytes) and d1 (4)."""
+    view, one = memoryview(data), hashlib.blake2b
+    return np.frombuffer(b"".join([one(view[s:e], digest_size=DIGEST).digest() for s, e in zip(starts, ends)]), dtype=[("d0", "<u8"), ("d1", "<u4")])
+
+
 def cells(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
     """The cells of documents that stand one after another in data, from edges[i] to edges[i + 1].
 
-    doc, a, b (first and last window), p (anchor), key (its hash), cell (hash of the content), left and right (hashes of
-    what surrounds the anchor by HALF bytes on one side; 0 where no window reaches that far).
+    doc, a, b (first and last window), p (anchor), key (its hash), d0 and d1 (digest of the bytes), left and right (hashes
+    of what surrounds the anchor by HALF bytes on one side; 0 where no window reaches that far).
     """
     n = len(data) - LENGTH + 1
-    none = {k: np.zeros(0, dtype="u8") for k in ("doc", "a", "b", "p", "key", "cell", "left", "right")}
+    none = {k: np.zeros(0, dtype="u8") for k in ("doc", "a", "b", "p", "key", "d0", "d1", "left", "right")}
     if n <= 0:
         return none
     hashed = Hashed(data)
@@ -96,10 +111,11 @@ def cells(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
     left[far] = hashed.of(p[far] - HALF, p[far] + K) | _U(1)
     far = b + LENGTH >= p + K + HALF
     right[far] = hashed.of(p[far], p[far] + K + HALF) | _U(1)
-    return {"doc": owner[first], "a": a, "b": b, "p": p, "key": grams[p], "cell": hashed.of(a, b + LENGTH), "left": left, "right": right}
+    told = digests(data.tobytes(), a.tolist(), (b + LENGTH).tolist())
+    return {"doc": owner[first], "a": a, "b": b, "p": p, "key": grams[p], "d0": told["d0"].astype("u8"), "d1": told["d1"].astype("u8"), "left": left, "right": right}
 
 
-_PARTS = (("high", "u4"), ("low", "u2"), ("cell", "u4"), ("left", "u1"), ("right", "u1"), ("doc", "u2"), ("p", "u4"), ("before", "u1"), ("after", "u1"))
+_PARTS = (("high", "u4"), ("low", "u2"), ("d0", "u8"), ("d1", "u4"), ("left", "u1"), ("right", "u1"), ("doc", "u2"), ("p", "u4"), ("before", "u1"), ("after", "u1"))
 
 
 def _short(x: np.ndarray) -> tuple[int, int, bytes]:
@@ -159,10 +175,10 @@ def _sampled(batches, buckets: int):
         found = cells(data, edges)
         doc = found["doc"].astype("i8")
         ord_of = ords[doc]
-        order = np.lexsort((ord_of, found["cell"], found["key"]))
+        order = np.lexsort((ord_of, found["d1"], found["d0"], found["key"]))
         same = np.zeros(len(order), dtype=bool)
-        k, c = found["key"][order], found["cell"][order]
-        same[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
+        k, c, d = (found[n][order] for n in ("key", "d0", "d1"))
+        same[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1]) & (d[1:] == d[:-1])
         group = np.cumsum(~same) - 1
         least = ord_of[order][~same][group] if len(order) else ord_of
         later = order[ord_of[order] > least]
@@ -173,7 +189,7 @@ def _sampled(batches, buckets: int):
         keep = np.sort(order[ord_of[order] == least])
         rows = {n: x[keep] for n, x in found.items()}
         p = rows["p"].astype("i8")
-        rows |= {"high": rows["key"] >> _U(16) & _U(0xFFFFFFFF), "low": rows["key"] & _U(0xFFFF), "cell": rows["cell"] & _U(0xFFFFFFFF), "left": rows["left"] >> _U(56) | (rows["left"] > 0), "right": rows["right"] >> _U(56) | (rows["right"] > 0), "before": p - rows["a"].astype("i8"), "after": rows["b"].astype("i8") + LENGTH - p - K, "p": p - shift[keep]}
+        rows |= {"high": rows["key"] >> _U(16) & _U(0xFFFFFFFF), "low": rows["key"] & _U(0xFFFF), "left": rows["left"] >> _U(56) | (rows["left"] > 0), "right": rows["right"] >> _U(56) | (rows["right"] > 0), "before": p - rows["a"].astype("i8"), "after": rows["b"].astype("i8") + LENGTH - p - K, "p": p - shift[keep]}
         bucket = (rows["key"] >> _U(48)).astype("i8") % buckets
         by = np.argsort(bucket, kind="stable")
         for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else ():
@@ -204,15 +220,19 @@ def _sampled(batches, buckets: int):
     yield from flushed()
 
 
+_STATE = "kind int, row long, ord long, a long, p long, e long, place long"
+
+
 def _settled(batches):
-    """kind 0: stretches to remove. kind 1: cells that share an anchor and some surroundings with a different cell."""
+    """kind 0: stretches to remove. kind 1 and 2: cells that agree with a different cell on HALF bytes to the left (1) or
+    right (2) of an anchor; place is the same for cells that agree so."""
     from collections import defaultdict
 
     blobs: dict[int, list[dict]] = defaultdict(list)
-    names = ["kind", "row", "ord", "a", "p", "e", "anchor"]
+    names = [x.split()[0] for x in _STATE.split(", ")]
 
-    def rows(kind, row, ord_, a, p, e, anchor):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), kind, dtype="i4")), *(pa.array(np.asarray(x).astype("i8")) for x in (row, ord_, a, p, e, anchor))], names)
+    def rows(kind, row, ord_, a, p, e, place):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), kind, dtype="i4")), *(pa.array(np.asarray(x).astype("i8")) for x in (row, ord_, a, p, e, place))], names)
 
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
@@ -224,9 +244,10 @@ def _settled(batches):
                 yield rows(0, row, zero, s, zero, e, zero)
     for bucket in list(blobs):
         parts = blobs.pop(bucket)
-        x = {n: np.concatenate([q[n] for q in parts]) for n in ("high", "low", "cell", "left", "right", "p", "before", "after", "ord", "row")}
-        anchor = (x["high"].astype("u8") << _U(16)) | x["low"]
-        order = np.lexsort((x["ord"], x["cell"], anchor))
+        x = {n: np.concatenate([q[n] for q in parts]) for n in ("high", "low", "d0", "d1", "left", "right", "p", "before", "after", "ord", "row")}
+        del parts
+        anchor = (x.pop("high").astype("u8") << _U(16)) | x.pop("low")
+        order = np.lexsort((x["ord"], x["d1"], x["d0"], anchor))
         anchor, x = anchor[order], {n: v[order] for n, v in x.items()}
         head = np.append(True, anchor[1:] != anchor[:-1])
         group = np.cumsum(head) - 1
@@ -234,7 +255,7 @@ def _settled(batches):
         mixed_docs = np.maximum.reduceat(x["ord"], first) > np.minimum.reduceat(x["ord"], first)
         if not mixed_docs.any():
             continue
-        sub = head | np.append(True, x["cell"][1:] != x["cell"][:-1])
+        sub = head | np.append(True, (x["d0"][1:] != x["d0"][:-1]) | (x["d1"][1:] != x["d1"][:-1]))
         least = x["ord"][sub][np.cumsum(sub) - 1]
         a, e = x["p"].astype("i8") - x["before"], x["p"].astype("i8") + K + x["after"]
         later = x["ord"] > least
@@ -244,8 +265,7 @@ def _settled(batches):
             yield rows(0, row, zero, s, zero, t, zero)
         # Different cells can share a window only if they agree in HALF bytes on one side of the anchor.
         cell = np.cumsum(sub) - 1
-        open_ = np.zeros(len(anchor), dtype=bool)
-        for side in ("left", "right"):
+        for kind, side in ((1, "left"), (2, "right")):
             some = np.flatnonzero((x[side] > 0) & mixed_docs[group] & ~later)
             some = some[np.lexsort((cell[some], x[side][some], anchor[some]))]
             if len(some) < 2:
@@ -253,9 +273,10 @@ def _settled(batches):
             g, h, c, o = anchor[some], x[side][some], cell[some], x["ord"][some]
             start = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (h[1:] != h[:-1])))
             several = (np.maximum.reduceat(c, start) > np.minimum.reduceat(c, start)) & (np.maximum.reduceat(o, start) > np.minimum.reduceat(o, start))
-            open_[some[np.repeat(several, np.diff(np.append(start, len(some))))]] = True
-        if open_.any():
-            yield rows(1, x["row"][open_], x["ord"][open_], a[open_], x["p"][open_], e[open_], (anchor[open_] << _U(16) | _U(bucket % 65536)).view("i8"))
+            at = some[np.repeat(several, np.diff(np.append(start, len(some))))]
+            if len(at):
+                place = _mixed(anchor[at] << _U(16) | _U(bucket % 65536)) ^ (x[side][at].astype("u8") * _U(2) + _U(kind - 1))
+                yield rows(kind, x["row"][at], x["ord"][at], a[at], x["p"][at], e[at], place.view("i8"))
 
 
 # --- cells that differ: sorted suffixes ----------------------------------------------------------------------------
@@ -299,8 +320,16 @@ def sorted_suffixes(suffixes: list[Suffix]) -> tuple[list[Suffix], list[int]]:
     return order, [0, *(common_extension(x, y) for x, y in zip(order, order[1:]))]
 
 
-def shared_windows(anchors: np.ndarray, ords: np.ndarray, before: np.ndarray, contents: list[bytes]) -> np.ndarray:
-    """cells x SPAN: whether the window that starts o bytes before the anchor is also in a cell of a smaller id."""
+#: The windows, by their bytes before the anchor, that two cells can share if they agree on the left (1) or right (2).
+_OFFSETS = {1: (HALF, SPAN - 1), 2: (0, HALF)}
+
+
+def shared_windows(anchors: np.ndarray, ords: np.ndarray, before: np.ndarray, contents: list[bytes], low: np.ndarray | int = 0, high: np.ndarray | int = SPAN - 1) -> np.ndarray:
+    """cells x SPAN: whether the window that starts o bytes before the anchor is also in a cell of a smaller id.
+
+    anchors are equal for cells that are to be compared, for o from low to high.
+    """
+    low, high = np.broadcast_to(low, len(contents)), np.broadcast_to(high, len(contents))
     n = len(contents)
     out = np.zeros((n, SPAN), dtype=bool)
     by = np.argsort(anchors, kind="stable")
@@ -316,7 +345,7 @@ def shared_windows(anchors: np.ndarray, ords: np.ndarray, before: np.ndarray, co
     anchor_at, length = base + before, np.array([len(c) for c in contents], dtype="i8")
     for o in range(SPAN):
         right = LENGTH - o  # from the anchor on
-        fits = (before[order] >= o) & (length[order] - before[order] >= right)
+        fits = (before[order] >= o) & (length[order] - before[order] >= right) & (low[order] <= o) & (o <= high[order])
         if not fits.any():
             continue
         klass = np.cumsum(common < right)[fits]
@@ -345,28 +374,59 @@ def shared_windows(anchors: np.ndarray, ords: np.ndarray, before: np.ndarray, co
 
 def _cut_out(batches):
     """The content of each open cell."""
-    names = ["row", "ord", "a", "before", "anchor", "content"]
+    names = ["kind", "row", "ord", "a", "before", "place", "content"]
     for batch in batches:
         out: list[tuple] = []
         for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("asked")):
             data = text.as_py()
             for q in asked.as_py():
-                out.append((row, q["ord"], q["a"], q["p"] - q["a"], q["anchor"], data[q["a"] : q["e"]]))
-        columns = list(zip(*out)) or [()] * 6
-        yield pa.RecordBatch.from_arrays([*(pa.array(list(c), pa.int64()) for c in columns[:5]), pa.array(list(columns[5]), pa.binary())], names)
+                out.append((q["kind"], row, q["ord"], q["a"], q["p"] - q["a"], q["place"], data[q["a"] : q["e"]]))
+        columns = list(zip(*out)) or [()] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(list(columns[0]), pa.int32()), *(pa.array(list(c), pa.int64()) for c in columns[1:6]), pa.array(list(columns[6]), pa.binary())], names)
 
 
-def _compared_cells(batches):
-    tables = list(batches)
-    if not tables:
-        return
-    table = pa.Table.from_batches(tables)
-    row, ord_, a, before, anchor = (table.column(c).to_numpy() for c in ("row", "ord", "a", "before", "anchor"))
-    shared = shared_windows(anchor, ord_, before, table.column("content").to_pylist())
-    i, o = np.nonzero(shared)
+def _removed(table: pa.Table) -> pa.RecordBatch:
+    kind, row, ord_, a, before, place = (table.column(c).to_numpy() for c in ("kind", "row", "ord", "a", "before", "place"))
+    low, high = (np.where(kind == 1, _OFFSETS[1][k], _OFFSETS[2][k]) for k in (0, 1))
+    i, o = np.nonzero(shared_windows(place, ord_, before, table.column("content").to_pylist(), low, high))
     start = a[i] + before[i] - o
     rows, s, e = _stretches(row[i], start, start + LENGTH)
-    yield pa.RecordBatch.from_arrays([pa.array(x.astype("i8")) for x in (rows, s, e)], ["row", "a", "e"])
+    return pa.RecordBatch.from_arrays([pa.array(x.astype("i8")) for x in (rows, s, e)], ["row", "a", "e"])
+
+
+def _compared_cells(batches):
+    """Cells come in the order of their place, and are compared when all of a place are there."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) < CELLS_AT_ONCE:
+            continue
+        place = batch.column("place").to_numpy()
+        ends = np.flatnonzero(place[1:] != place[:-1])
+        before = [x for x in held[:-1] if len(x)]
+        if len(ends):
+            whole, held = [*held[:-1], batch.slice(0, ends[-1] + 1)], [batch.slice(ends[-1] + 1)]
+        elif before and before[-1].column("place")[-1] != batch.column("place")[0]:
+            whole, held = held[:-1], [batch]
+        else:
+            continue
+        yield _removed(pa.Table.from_batches(whole))
+    if held:
+        yield _removed(pa.Table.from_batches(held))
+
+
+def _window_digests(batches):
+    """Every window of a large place's open cells that another may share."""
+    names = ["place", "h", "row", "ord", "a"]
+    for batch in batches:
+        for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("asked")):
+            data, out = text.as_py(), []
+            for q in asked.as_py():
+                low, high = _OFFSETS[q["kind"]]
+                for start in range(max(q["a"], q["p"] - high), min(q["e"] - LENGTH, q["p"] - low) + 1):
+                    out.append((q["place"], hashlib.blake2b(data[start : start + LENGTH], digest_size=16).digest(), row, q["ord"], start))
+            columns = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))], names)
 
 
 def _stripped(batches, keep_text: bool):
@@ -389,28 +449,52 @@ def _stripped(batches, keep_text: bool):
         yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(list(c), pa.int64()) for c in columns[:3]), pa.array(list(columns[3]), pa.string()), pa.array(list(columns[4]), pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+def _asked(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("row").agg(F.collect_list(F.struct("kind", "ord", "a", "p", "e", "place")).alias("asked")).hint("shuffle_hash")
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """One row per input row: id_col (integer), n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left).
+    """One row per input row: id_col, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left).
 
-    Texts are UTF-8 bytes, null counting as empty; texts of under LENGTH bytes lose nothing. Rows of equal id never take
-    from each other, so repeated rows fare alike; a null id comes after all others. An empty table gives none.
+    id_col must be of a whole-number type: ids of other types have no order that is told here, and are refused. Texts
+    are UTF-8 bytes, null counting as empty; texts of under LENGTH bytes lose nothing. Rows of equal id never take from
+    each other, so repeated rows fare alike; a null id comes after all others. An empty table gives none. A very long
+    text is sampled AT_ONCE bytes at a time. Cells of one anchor that differ meet in one task as some 50 bytes each; of
+    those that agree around it more than LARGE_GROUP are compared by the digests of their windows, in many tasks.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col} is {kind}; which document is earlier is told by a whole number")
     last = F.lit((1 << 63) - 1)
     rows = steady(docs).select(row_number().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), last).alias("ord"), whole_text(text_col).cast("binary").alias("text"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    sampled = map_batches(rows.select("row", "ord", "text"), lambda batches: _sampled(batches, 2 * width), _SETTLED).repartition(width, "bucket")
-    state = written(map_batches(sampled, _settled, "kind int, row long, ord long, a long, p long, e long, anchor long"), "suffix-cells")
-
-    # Both joins shuffle the same columns of the texts by row, so that one shuffle serves both.
-    asked = state.where("kind = 1").groupBy("row").agg(F.collect_list(F.struct("ord", "a", "p", "e", "anchor")).alias("asked"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(width, -(-total // TASK_BYTES))
+
+    sampled = map_batches(rows.select("row", "ord", "text"), lambda batches: _sampled(batches, 2 * parts), _SETTLED).repartition(parts, "bucket")
+    state = written(map_batches(sampled, _settled, _STATE), "suffix-cells")
+
+    opened = state.where("kind > 0")
+    sizes = written(opened.groupBy("place").agg(F.count(F.lit(1)).alias("n")), "suffix-places")
+    large = sizes.where(F.col("n") > LARGE_GROUP)
+    n_opened, n_large = sizes.agg(F.sum("n"), F.count_if(F.col("n") > LARGE_GROUP)).first()
+    small, many = opened, None
+    if n_large:
+        tagged = written(hot_join(opened, large, ["place"], "n", "left"), "suffix-open")
+        small, many = tagged.where("n is null"), tagged.where("n is not null")
+
+    # All joins shuffle the same columns of the texts by row, so that one shuffle serves them.
     texts = rows.select("row", "id", "text")
-    contents = map_batches(texts.join(asked.hint("shuffle_hash"), "row").select("row", "id", "text", "asked"), _cut_out, "row long, ord long, a long, before long, anchor long, content binary")
-    compared = map_batches(contents.repartition(width, "anchor"), _compared_cells, "row long, a long, e long")
-    cut = state.where("kind = 0").select("row", "a", "e").union(compared).groupBy("row").agg(F.collect_list(F.struct("a", "e")).alias("cut"))
-    whole = texts.join(cut.hint("shuffle_hash"), "row", "left").select("id", "text", "cut")
+    contents = map_batches(texts.join(_asked(small), "row").select("row", "id", "text", "asked"), _cut_out, "kind int, row long, ord long, a long, before long, place long, content binary")
+    by_place = contents.repartition(max(width, -(-(n_opened or 0) // TASK_CELLS)), "place").sortWithinPartitions("place")
+    cut = state.where("kind = 0").select("row", "a", "e").union(map_batches(by_place, _compared_cells, "row long, a long, e long"))
+    if many is not None:
+        windows = written(map_batches(texts.join(_asked(many), "row").select("row", "id", "text", "asked"), _window_digests, "place long, h binary, row long, ord long, a long"), "suffix-windows")
+        first = windows.groupBy("place", "h").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("n")).where("most > least").drop("most")
+        cut = cut.union(hot_join(windows, written(first, "suffix-firsts"), ["place", "h"], "n").where("ord > least").select("row", "a", (F.col("a") + LENGTH).alias("e")))
+    cuts = cut.groupBy("row").agg(F.collect_list(F.struct("a", "e")).alias("cut"))
+    whole = texts.join(cuts.hint("shuffle_hash"), "row", "left").select("id", "text", "cut")
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     found = map_batches(whole, lambda batches: _stripped(batches, keep_text), schema).withColumnRenamed("id", id_col)
     return found if keep_text else found.drop("kept")

@@ -90,6 +90,9 @@ def test_simhash_odd_rows(odd, empty):
     assert kept.columns == odd.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({r["component_id"] for r in rows})
 
 
+LICENCE = "This software is given as it is, without a promise of any kind, and nobody answers for what it does. "
+
+
 # --- passages ------------------------------------------------------------------------------------------------------
 
 
@@ -119,6 +122,56 @@ def test_passages_odd_rows(odd, empty):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("bits", [4, 12])
+def test_passages_when_hashes_collide(docs, monkeypatch, bits):
+    """With polynomial hashes of few bits many strings collide; what is removed stays the same."""
+    real = suffix_dedup.Hashed.of
+    monkeypatch.setattr(suffix_dedup.Hashed, "of", lambda self, a, b: real(self, a, b) & suffix_dedup.np.uint64((1 << bits) - 1))
+    rng = random.Random(6)
+    passages = ["".join(rng.choice("ab c") for _ in range(rng.randint(40, 160))) for _ in range(6)]
+    texts = [(i, "".join(rng.choice(passages)[rng.randint(0, 60) :] for _ in range(4)).encode()) for i in range(12)]
+    out = []
+    data = suffix_dedup.np.frombuffer(b"".join(t for _, t in texts), dtype="u1")
+    edges = suffix_dedup.np.concatenate([[0], suffix_dedup.np.cumsum([len(t) for _, t in texts])])
+    found = suffix_dedup.cells(data, edges)
+    contents = [data[a : b + 50].tobytes() for a, b in zip(found["a"], found["b"])]
+    shared = suffix_dedup.shared_windows(found["key"].astype("i8"), found["doc"].astype("i8"), (found["p"] - found["a"]).astype("i8"), contents)
+    gone = {i: bytearray(len(t)) for i, t in texts}
+    for c, o in zip(*suffix_dedup.np.nonzero(shared)):
+        at = int(found["p"][c]) - int(o) - int(edges[found["doc"][c]])
+        gone[int(found["doc"][c])][at : at + 50] = b"\1" * 50
+    want = brute.suffix(texts)
+    assert {i: sum(g) for i, g in gone.items()} == {k: w[1] for k, w in want.items()}
+    assert len(set(contents)) == len({(int(x), int(y)) for x, y in zip(found["d0"], found["d1"])})
+
+
+def test_large_places_and_small_batches(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LARGE_GROUP", 6)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcde ") for _ in range(rng.randint(20, 70)))
+    tail = word()
+    labels, written = [], suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, label: labels.append(label) or written(df, label))
+    _checked(docs([(i, word() + LICENCE + (tail if i % 3 else word())) for i in range(60)]))
+    assert "suffix-firsts" in labels
+
+
+def test_cells_are_compared_place_by_place(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "CELLS_AT_ONCE", 3)
+    seen = []
+    monkeypatch.setattr(suffix_dedup, "_removed", lambda t: seen.append(t.column("place").to_pylist()) or t)
+    batches = [pa.RecordBatch.from_arrays([pa.array(p, pa.int64())], ["place"]) for p in ([1, 1], [1, 1], [2, 2, 2, 3], [], [3, 3, 3], [4, 4, 4])]
+    list(suffix_dedup._compared_cells(iter(batches)))
+    assert sum(seen, []) == [1] * 4 + [2] * 3 + [3] * 4 + [4] * 3 and all(set(a).isdisjoint(b) for a, b in zip(seen, seen[1:]))
+
+
+def test_passages_need_whole_number_ids(docs):
+    with pytest.raises(TypeError, match="doc_id is string"):
+        suffix_dedup.suffix_dedup(docs([(1, "a")]).withColumn("doc_id", F.lit("x")))
+
+
 def test_long_texts_are_sampled_in_parts(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "AT_ONCE", 1000)
     data = suffix_dedup.np.frombuffer(b"abc" * 500, dtype="u1")
