@@ -1,8 +1,9 @@
 """Quality rules: counts that fail a document outright, then divergence from the language's references.
 
-A reference is what a language's documents have on average: the shares of character classes among all characters, and
-the shares of common words among all words. A document is compared with it by Jensen-Shannon distance, if it is long
-enough for its shares to mean something.
+A reference is what a language's documents have on average: the shares of character classes among all characters, the
+shares of common words among all words, and the share of the language's common words together. A document is compared
+with it by Jensen-Shannon distance, if it is long enough for its shares to mean something. Shares of n words stray from
+what they are drawn from by about 1 / sqrt(n), so limits have a part that shrinks like that.
 """
 
 from __future__ import annotations
@@ -38,6 +39,11 @@ COMMON = {
 #: One column of counts for each distinct word.
 WORDS = tuple(dict.fromkeys(w for words in COMMON.values() for w in words))
 _PLACE = {w.encode(): k for k, w in enumerate(WORDS)}
+_OWN = {lang: [WORDS.index(w) for w in words] for lang, words in COMMON.items()}
+_MARKS = b".,;:!?\"'()"
+_LONGEST = max(map(len, _PLACE))
+#: Shares are summed as whole parts of this, so that a reference doesn't depend on the order of its documents.
+UNITS = 10**12
 
 LEAST_WORDS, MOST_REPEATED = 20, 30  # of the contract: fewer words, or a larger percentage in repeated windows, fail
 WINDOW = 8
@@ -92,7 +98,7 @@ def measures(data: bytes) -> tuple[int, int, int, int, int, list[int], list[int]
     classes = np.bincount(_CLASS, weights=by_byte, minlength=len(CLASSES) + 1)[: len(CLASSES)]
     common = [0] * len(WORDS)
     for w in words:
-        if len(w) < 9 and (k := _PLACE.get(w.lower().strip(b".,;:!?\"'()"))) is not None:
+        if (len(w) <= _LONGEST or w[0] in _MARKS or w[-1] in _MARKS) and (k := _PLACE.get(w.lower().strip(_MARKS))) is not None:
             common[k] += 1
     bare = data.translate(None, _WS + _INNER)
     return len(words), len(bare), len(data) - len(data.translate(None, _SYMBOLS)), repeated, repeated_words(words), classes.astype("i8").tolist(), common
@@ -105,9 +111,10 @@ def _measured(batches):
     for batch in batches:
         found = [measures(t.as_py()) for t in batch.column("text")]
         columns = list(zip(*found)) or [[] for _ in range(7)]
+        own = [sum(m[6][k] for k in _OWN.get(lang, ())) for lang, m in zip(batch.column("lang").to_pylist(), found)]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("key", "lang")), *(pa.array(list(c), pa.int64()) for c in columns[:5]), *(pa.array(list(c), pa.list_(pa.int64())) for c in columns[5:])],
-            ["key", "lang", *_NAMES, "classes", "common"],
+            [*(batch.column(c) for c in ("key", "lang")), *(pa.array(list(c), pa.int64()) for c in columns[:5]), *(pa.array(list(c), pa.list_(pa.int64())) for c in columns[5:]), pa.array(own, pa.int64())],
+            ["key", "lang", *_NAMES, "classes", "common", "own"],
         )
 
 
@@ -117,38 +124,52 @@ def _distance(p: str, q: str) -> Column:
     return F.expr(f"sqrt(greatest(0D, aggregate(zip_with({p}, {q}, (x, y) -> {half}), 0D, (a, x) -> a + x)))")
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_class_distance: float = 0.12, class_slack: float = 0.5, most_word_distance: float = 0.5, least_chars: int = 200, least_words: int = 100, key: Column | None = None) -> DataFrame:
+def _shares(counts: str, total: str) -> str:
+    """SQL: the shares of an array of counts, and of what remains of total."""
+    of = f"cast(greatest({total}, 1) as double)"
+    return f"concat(transform({counts}, x -> x / {of}), array(({total} - aggregate({counts}, 0L, (a, x) -> a + x)) / {of}))"
+
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_class_distance: float = 0.12, class_slack: float = 0.5, most_word_distance: float = 0.05, word_slack: float = 4.2, most_common_distance: float = 0.06, common_slack: float = 1.7, least_chars: int = 200, least_words: int = 100, least_common_words: int = 50, key: Column | None = None) -> DataFrame:
     """One row per input row: id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    class_distance, word_distance, _key.
+    class_distance, word_distance, common_distance, _key.
 
     References come from all documents that pass the base rules, by language; languages without common words of their
-    own, and null, share one over all such documents, of classes only. A document fails if its class distance exceeds
-    most_class_distance + class_slack / sqrt(characters), which short texts reach by chance (from least_chars characters
-    on), or its word distance most_word_distance (from least_words words on); a distance that isn't measured is null. Null, empty and blank texts have no words and fail the base rules.
-    Repeated rows and null ids are rows like others; an empty table gives none.
+    own, and null, share one over all such documents, of classes only. A distance is too large above
+    most_class_distance + class_slack / sqrt(characters), from least_chars characters on; for the histogram of common
+    words above most_word_distance + word_slack / sqrt(words), from least_words words on; for the language's common
+    words against all others above most_common_distance + common_slack / sqrt(words), from least_common_words words on.
+    The slacks are what chance alone hardly reaches: twice the expected distance of a histogram of some 23 words, four
+    standard deviations of a histogram of two. A document fails if one distance is too large; one that isn't measured is
+    null. Null, empty and blank texts have no words and fail the base rules. Repeated rows and null ids are rows like
+    others; an empty table gives none. A very long text is counted whole, in space that grows with its words.
     """
     numbered = docs.withColumn("_key", row_number() if key is None else key)
     own = F.when(F.col(lang_col).isin(*COMMON), F.col(lang_col)).otherwise("")
     pairs = numbered.select(F.struct(F.col(id_col).alias("id"), F.col("_key").alias("key")).alias("key"), own.alias("lang"), whole_text(text_col).cast("binary").alias("text"))
     kind = pairs.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, lang string, {', '.join(f'{n} long' for n in _NAMES)}, classes array<bigint>, common array<bigint>"
+    schema = f"key {kind}, lang string, {', '.join(f'{n} long' for n in _NAMES)}, classes array<bigint>, common array<bigint>, own long"
     found = written(map_batches(pairs, _measured, schema).withColumn("base_failed", F.expr(f"n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words")), "quality")
-    found = found.withColumn("chars", F.expr("aggregate(classes, 0L, (a, x) -> a + x)")).withColumn("n_common", F.expr("aggregate(common, 0L, (a, x) -> a + x)"))
-    found = found.withColumn("class_shares", F.expr("transform(classes, x -> x / cast(greatest(chars, 1) as double))")).withColumn("word_shares", F.expr("concat(transform(common, x -> x / cast(greatest(n_words, 1) as double)), array((n_words - n_common) / cast(greatest(n_words, 1) as double)))"))
+    found = found.withColumn("chars", F.expr("aggregate(classes, 0L, (a, x) -> a + x)"))
+    found = found.withColumns({"class_shares": F.expr("slice(" + _shares("classes", "chars") + f", 1, {len(CLASSES)})"), "word_shares": F.expr(_shares("common", "n_words")), "own_shares": F.expr(_shares("array(own)", "n_words"))})
 
     # A row for each language that COMMON lists and one for all: five at most.
-    average = lambda column, n: F.array(*(F.avg(F.col(column)[k]) for k in range(n)))
+    whole = lambda column, k: F.floor(F.col(column)[k] * UNITS + 0.5).cast("decimal(20,0)")
+    average = lambda column, n: F.array(*(F.sum(whole(column, k)).cast("double") / F.count(F.lit(1)) / UNITS for k in range(n)))
     sound = found.where("not base_failed")
-    refs = sound.groupBy("lang").agg(average("class_shares", len(CLASSES)).alias("class_ref"), average("word_shares", len(WORDS) + 1).alias("word_ref"))
-    everything = sound.agg(F.lit("").alias("lang"), average("class_shares", len(CLASSES)).alias("class_ref"), F.lit(None).cast("array<double>").alias("word_ref")).where("class_ref[0] is not null")
+    refs = sound.groupBy("lang").agg(average("class_shares", len(CLASSES)).alias("class_ref"), average("word_shares", len(WORDS) + 1).alias("word_ref"), average("own_shares", 2).alias("own_ref"))
+    nothing = F.lit(None).cast("array<double>")
+    everything = sound.agg(F.lit("").alias("lang"), average("class_shares", len(CLASSES)).alias("class_ref"), nothing.alias("word_ref"), nothing.alias("own_ref")).where("class_ref[0] is not null")
     refs = written(refs.where("lang <> ''").union(everything), "quality-references")
 
     judged = found.join(F.broadcast(refs), "lang", "left").withColumns({
         "class_distance": F.when(F.col("chars") >= least_chars, _distance("class_shares", "class_ref")),
         "word_distance": F.when((F.col("n_words") >= least_words) & F.col("word_ref").isNotNull(), _distance("word_shares", "word_ref")),
+        "common_distance": F.when((F.col("n_words") >= least_common_words) & F.col("own_ref").isNotNull(), _distance("own_shares", "own_ref")),
     })
-    bad = F.coalesce(F.col("class_distance") > most_class_distance + class_slack / F.sqrt("chars"), F.lit(False)) | F.coalesce(F.col("word_distance") > most_word_distance, F.lit(False))
-    return judged.select(F.col("key.id").alias(id_col), *_NAMES, "base_failed", (~F.col("base_failed") & ~bad).alias("kept"), "class_distance", "word_distance", F.col("key.key").alias("_key"))
+    above = lambda x, base, slack, n: F.coalesce(F.col(x) > base + slack / F.sqrt(n), F.lit(False))
+    bad = above("class_distance", most_class_distance, class_slack, "chars") | above("word_distance", most_word_distance, word_slack, "n_words") | above("common_distance", most_common_distance, common_slack, "n_words")
+    return judged.select(F.col("key.id").alias(id_col), *_NAMES, "base_failed", (~F.col("base_failed") & ~bad).alias("kept"), "class_distance", "word_distance", "common_distance", F.col("key.key").alias("_key"))
 
 
 def of_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

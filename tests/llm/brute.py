@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -54,6 +55,34 @@ def quality(text: str) -> tuple[int, int, int, int, int, bool]:
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, r, n < 20 or 100 * r > 30 * n
 
 
+def _js(p: list[float], q: list[float]) -> float:
+    half = lambda a, b: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b) if x) / 2
+    return math.sqrt(max(0.0, half(p, q) + half(q, p)))
+
+
+def verdicts(rows: list[tuple[str, str | None]], measures, common: dict[str, tuple[str, ...]], words: tuple[str, ...]) -> list[tuple]:
+    """For (text, language): kept, class distance, word distance, distance of the language's common words."""
+    seen = []
+    for text, lang in rows:
+        n, *_, classes, counts = measures(text.encode())
+        own = sum(counts[words.index(w)] for w in common.get(lang, ()))
+        share = lambda xs, of: [x / max(1, of) for x in xs]
+        seen.append((n, sum(classes), lang if lang in common else "", quality(text)[5], share(classes, sum(classes)), share([*counts, n - sum(counts)], n), share([own, n - own], n)))
+    sound = [x for x in seen if not x[3]]
+    mean = lambda xs: [round(sum(c) / len(xs), 12) for c in zip(*xs)]
+    refs = {lang: [mean([x[k] for x in sound if x[2] == lang]) for k in (4, 5, 6)] for lang in {x[2] for x in sound if x[2]}}
+    every = mean([x[4] for x in sound]) if sound else None
+    out = []
+    for n, chars, lang, failed, *parts in seen:
+        refs_here = refs.get(lang) if lang else [every, None, None]
+        far, bad = [], failed
+        for part, ref, enough, size, base, slack in zip(parts, refs_here or [None] * 3, (chars >= 200, n >= 100, n >= 50), (chars, n, n), (0.12, 0.05, 0.06), (0.5, 4.2, 1.7)):
+            far.append(_js(part, ref) if enough and ref else None)
+            bad |= far[-1] is not None and far[-1] > base + slack / math.sqrt(size)
+        out.append((not bad, *far))
+    return out
+
+
 def fingerprint(text: str) -> int:
     words = WORDS.findall(text.translate({c: c + 32 for c in range(65, 91)}))
     if not words:

@@ -162,6 +162,31 @@ def test_quality_query_and_labels(spark):
     assert sum(good) / len(good) > 0.99 and sum(r.kept for r in rows if labels.get(r.doc_id) == 0) <= 5
 
 
+def test_quality_verdicts_equal_brute_force(spark):
+    docs = {r.doc_id: (r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    ids = sorted(docs)
+    want = dict(zip(ids, brute.verdicts([docs[i] for i in ids], quality.measures, quality.COMMON, quality.WORDS)))
+    for r in queries.op8_quality_rules(spark, "/root/testdata/sf0.01").collect():
+        kept, *far = want[r.doc_id]
+        assert r.kept == kept
+        assert [r.class_distance, r.word_distance, r.common_distance] == [None if x is None else pytest.approx(x, abs=1e-7) for x in far]
+
+
+def test_letters_without_common_words_are_rejected(spark, docs):
+    """Letter-only junk of over 100 words among sound texts; classes alone don't tell it."""
+    import random
+
+    rng = random.Random(3)
+    sound = lambda: " ".join(rng.choice(("the", "of", "and", "to", "in", "a", "is", *(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{k % 7 * 'e'}" for k in range(14)))) for _ in range(300))
+    junk = " ".join(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{rng.choice('aeiou')}" for _ in range(150))
+    rows = quality.quality_rules(docs([(i, sound()) for i in range(30)] + [(99, junk)]).coalesce(2)).collect()
+    assert {r["doc_id"] for r in rows if not r["kept"]} == {99} and not any(r["base_failed"] for r in rows)
+
+
+def test_common_words_among_marks_count():
+    assert sum(quality.measures(b'(("the")))...... ""and"".,.,., theothers of')[6]) == 3
+
+
 def test_quality_odd_rows(odd, empty, docs):
     rows = quality.quality_rules(odd).collect()
     assert len(rows) == len(ODD) and quality.quality_rules(empty).count() == 0
