@@ -34,9 +34,14 @@ def row_number() -> Column:
     return F.monotonically_increasing_id()
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """docs, which must be steady, less the rows whose number is in dropped (_key); columns may have any names."""
-    plain = docs.select(*(F.col("`" + c.replace("`", "``") + "`").alias(f"c{k}") for k, c in enumerate(docs.columns)), row_number().alias("_key"))
+    plain = docs.select(*(named(c).alias(f"c{k}") for k, c in enumerate(docs.columns)), row_number().alias("_key"))
     return plain.join(dropped.select("_key"), "_key", "left_anti").drop("_key").toDF(*docs.columns)
 
 

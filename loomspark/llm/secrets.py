@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import compile_rules
-from .common import id_type, map_batches, whole_text
+from .common import id_type, map_batches, named, whole_text
 
 
 @dataclass(frozen=True)
@@ -134,7 +134,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """One row per input row: id_col, n_<kind> of each base rule, base_spans, spans, n_<kind> of each further rule.
 
     Spans are kind:start:end in code points, end exclusive, by start and then rule order, joined by commas. A null or
-    empty text has none. Rows are independent: repeated rows repeat, a null id stays null, an empty table gives none.
+    empty text has none. Rows are independent: repeated rows repeat, a null id stays null, an empty table gives none. A
+    very long text is read whole, a byte at a time, in no more space than itself and its spans.
     """
     kinds = [f"n_{r.kind} long" for r in RULES]
     schema = ", ".join([f"id {id_type(docs, id_col)}", *kinds[:3], "base_spans string", "spans string", *kinds[3:]])
@@ -170,7 +171,7 @@ def _redact(batches):
 
 def without_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with every span that secret_scan finds replaced by its kind in brackets; null texts stay null."""
-    plain = docs.select(*(F.col(f"`{c}`").alias("_text" if c == text_col else f"_{k}") for k, c in enumerate(docs.columns)))
+    plain = docs.select(*(named(c).alias("_text" if c == text_col else f"_{k}") for k, c in enumerate(docs.columns)))
     schema = ", ".join(f"{c} {t}" for c, t in plain.dtypes)
     return map_batches(plain, _redact, schema).toDF(*docs.columns)
 

@@ -115,3 +115,17 @@ def groups(fps: dict[int, int], bits: int = 3) -> dict[int, int]:
                 a, b = sorted((root(by[f][0]), root(by[g][0])))
                 parent[b] = a
     return {k: root(k) for k in fps}
+
+
+def convolution_score(model, parts_of, widths, text: str) -> float:
+    """A text's score from the model's arrays, window by window."""
+    words = text.lower().split() or [None]
+    vector = lambda w: sum(model.embedding[p].astype(float) for p in parts_of(w, len(model.embedding))) if w else 0 * model.embedding[0].astype(float)
+    vectors = [vector(w) for w in words] + [0 * model.embedding[0].astype(float)] * max(widths)
+    raw, at = model.base, 0
+    for i, width in enumerate(widths):
+        for f in range(model.bias.shape[1]):
+            best = max(sum(float(vectors[s + j] @ model.filters[at + j, :, f]) for j in range(width)) for s in range(len(words)))
+            raw += max(0.0, best + float(model.bias[i, f])) * float(model.out[i, f])
+        at += width
+    return 1 / (1 + math.exp(-raw))

@@ -26,7 +26,7 @@ def odd(docs):
     """Odd rows, with further columns whose names are those that the operators use themselves."""
     from pyspark.sql import functions as F
 
-    clash = ("id", "key", "row", "_row", "_key", "kept", "score", "part", "_id", "fp", "count", "a", "e")
+    clash = ("id", "key", "row", "_row", "_key", "kept", "score", "part", "_id", "fp", "count", "a", "e", "toxic", "_toxic", "_order", "n", "h1", "h2", "at", "_site", "_lines", "_at", "_slot", "_len", "_pre", "_full", "_norm", "_chars", "_n", "_best", "_hot", "u", "v", "class", "main", "best", "first", "ord", "cut", "asked", "place", "length", "piece", "base", "local", "own", "chars", "classes", "common", "n_words", "_url", "`tick`", "_text", "_0", "spans", "with space")
     return docs(ODD).select("*", *(F.lit(7).alias(c) for c in clash))
 
 
