@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from dataclasses import dataclass
 from functools import cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_type, map_batches
+from .url_labels import labelled_urls
 
 #: Fixed values of the contract: (host, path, verdict).
 RULES = (
@@ -51,10 +53,18 @@ def _entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
-FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digits", "hyphens", "longest_label", "host_entropy", "path_entropy", "parameters", "query_length", "vowel_ratio", "secure", "suffix_rate", "ending_rate")
+FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digits", "hyphens", "longest_label", "host_entropy", "path_entropy", "parameters", "query_length", "vowel_ratio", "secure", "suffix_rate", "ending_rate", "gram_mean", "gram_high", "gram_low")
+#: Length of the character strings of a host that have statistics.
+GRAM = 4
 
 
-def features(url: str | None, host: str, path: str, suffix_rates: dict[str, float]) -> list[float]:
+def grams(host: str) -> set[str]:
+    """The character strings of a host's name, without its last label; ^ and $ mark where labels begin and end."""
+    name = "".join(f"^{label}$" for label in host.split(".")[:-1] if label not in ("www", "m"))
+    return {name[i : i + GRAM] for i in range(max(0, len(name) - GRAM + 1))}
+
+
+def features(url: str | None, host: str, path: str, statistics: dict[str, float]) -> list[float]:
     """Numbers in the order of FEATURES; a null url counts as empty."""
     url = url or ""
     letters = sum(c.isalpha() for c in host)
@@ -62,23 +72,31 @@ def features(url: str | None, host: str, path: str, suffix_rates: dict[str, floa
     labels = host.split(".")
     last = path.rpartition("/")[2]
     ending = "." + last.rpartition(".")[2] if "." in last else "/"
-    rate = lambda key: suffix_rates.get(key, suffix_rates.get("", 0.5))
+    rate = lambda key: statistics.get(key, statistics.get("", 0.5))
+    odds = sorted(statistics.get("=" + g, 0.0) for g in grams(host)) or [0.0]
+    few = max(1, len(odds) // 4)
     return [
         len(url), len(host), len(path), path.strip("/").count("/") + bool(path.strip("/")), len(labels), sum(c.isdigit() for c in url) / max(1, len(url)), sum(c.isdigit() for c in host), host.count("-"),
         max(map(len, labels)), _entropy(host), _entropy(path), query.count("=") + query.count("&") * ("=" not in query), len(query), sum(c in "aeiou" for c in host) / max(1, letters), url[:5].lower() == "https", rate("." + labels[-1]), rate(ending),
+        sum(odds) / len(odds), sum(odds[-few:]) / few, sum(odds[:few]) / few,
     ]
 
 
 def suffix_statistics(labelled: list[tuple[str, str, str, int]], prior_weight: float = 20.0) -> dict[str, float]:
-    """Share of blocked urls for each top-level label and each ending of a path, drawn towards the overall share ("")."""
+    """From (url, host, path, label): the share of blocked urls for each top-level label and each ending of a path, drawn
+    towards the overall share (""); and, under "=" and the string, log odds of the strings in hosts' names."""
     overall = sum(y for *_, y in labelled) / max(1, len(labelled))
-    n, bad = Counter(), Counter()
+    n, bad, there, blocked = Counter(), Counter(), Counter(), Counter()
     for _, host, path, y in labelled:
         last = path.rpartition("/")[2]
         for key in ("." + host.rpartition(".")[2], "." + last.rpartition(".")[2] if "." in last else "/"):
             n[key] += 1
             bad[key] += y
-    return {"": overall} | {k: (bad[k] + prior_weight * overall) / (n[k] + prior_weight) for k in n}
+        for g in grams(host):
+            there[g] += 1
+            blocked[g] += y
+    odds = {"=" + g: math.log((blocked[g] + overall) / (k - blocked[g] + 1 - overall)) for g, k in there.items() if k > 1}
+    return {"": overall} | {k: (bad[k] + prior_weight * overall) / (n[k] + prior_weight) for k in n} | odds
 
 
 # --- boosted trees -------------------------------------------------------------------------------------------------
@@ -92,7 +110,7 @@ class Boosted:
     feature: np.ndarray  # trees x inner nodes
     limit: np.ndarray
     leaf: np.ndarray  # trees x leaves
-    suffix_rates: dict[str, float]
+    statistics: dict[str, float]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.base)
@@ -105,7 +123,7 @@ class Boosted:
         return 1 / (1 + np.exp(-total))
 
 
-def fit_boosted(x: np.ndarray, y: np.ndarray, suffix_rates: dict[str, float], rounds: int = 60, depth: int = 3, rate: float = 0.2, most_bins: int = 32, ridge: float = 1.0) -> Boosted:
+def fit_boosted(x: np.ndarray, y: np.ndarray, statistics: dict[str, float], rounds: int = 60, depth: int = 3, rate: float = 0.2, most_bins: int = 32, ridge: float = 1.0) -> Boosted:
     """Newton boosting of the logistic loss; splits are searched over histograms of quantile bins."""
     limits = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, most_bins + 1)[1:-1], method="lower")) for j in range(x.shape[1])]
     binned = np.column_stack([np.searchsorted(limits[j], x[:, j], side="left") for j in range(x.shape[1])])
@@ -132,18 +150,28 @@ def fit_boosted(x: np.ndarray, y: np.ndarray, suffix_rates: dict[str, float], ro
         leaf = -rate * G / (H + ridge)
         raw += leaf[node - inner]
         out_f.append(f), out_t.append(t), out_l.append(leaf)
-    return Boosted(base, np.array(out_f), np.array(out_t), np.array(out_l), suffix_rates)
+    return Boosted(base, np.array(out_f), np.array(out_t), np.array(out_l), statistics)
 
 
-def train(labelled: list[tuple[str, int]], **knobs) -> Boosted:
-    """A model from (url, 1 if it is to be blocked). The list is fitted on the driver; its length is the caller's bound."""
-    parsed = [(u, *_split(u), y) for u, y in labelled]
-    rates = suffix_statistics(parsed)
-    x = np.array([features(u, h, p, rates) for u, h, p, _ in parsed], dtype=float)
-    return fit_boosted(x, np.array([y for *_, y in parsed], dtype=float), rates, **knobs)
+def train(labelled: list[tuple[str, int]], folds: int = 5, **knobs) -> Boosted:
+    """A model from (url, 1 if it is to be blocked). The list is fitted on the driver; its length is the caller's bound.
 
-
-def _split(url: str) -> tuple[str, str]:
+    Statistics of strings would know the urls that they come from: what the trees learn from has those of the other
+    folds, and hosts of one name are in one fold.
+    """
+    parsed = [(u, *split(u), y) for u, y in labelled]
+    fold = [crc32(".".join(h.split(".")[-2:]).encode()) % folds for _, h, _, _ in parsed]
+    x = np.zeros((len(parsed), len(FEATURES)))
+    for k in range(folds):
+        others = suffix_statistics([p for p, f in zip(parsed, fold) if f != k])
+        for i, (u, h, p, _) in enumerate(parsed):
+            if fold[i] == k:
+                x[i] = features(u, h, p, others)
+    return fit_boosted(x, np.array([y for *_, y in parsed], dtype=float), suffix_statistics(parsed), **knobs)
+
+
+def split(url: str) -> tuple[str, str]:
+    """host_and_path() of a text."""
     rest = url.partition("://")[2]
     host = rest
     for c in "/?#":
@@ -151,28 +179,7 @@ def _split(url: str) -> tuple[str, str]:
     path = rest[len(host) :]
     for c in "?#":
         path = path.partition(c)[0]
-    return host.lower(), path
-
-
-#: Seeds for labelled urls: words that hosts of unwanted sites are put together from, and syllables of ordinary names.
-UNWANTED = ("ads", "adult", "bets", "bonus", "casino", "cheap", "click", "cialis", "crypto", "dating", "deals", "farm", "free", "hot", "loan", "lotto", "pills", "poker", "prize", "replica", "seo", "slots", "spam", "track", "viagra", "warez", "win", "x", "xxx")
-ORDINARY = ("al", "an", "ber", "cor", "den", "el", "er", "for", "gar", "hen", "in", "ka", "lor", "ly", "ma", "nd", "ng", "nor", "nt", "on", "ou", "pa", "re", "sh", "st", "sta", "th", "the", "ti", "ton", "un", "ver", "wh", "wil", "yo")
-
-
-def labelled_urls(per_label: int = 2000, seed: int = 7) -> list[tuple[str, int]]:
-    """Labelled urls made from the seeds: both labels have the same schemes, suffixes, paths and parameters."""
-    rng = np.random.default_rng(seed)
-    pick = lambda xs: xs[int(rng.integers(len(xs)))]
-    out = []
-    for label in (0, 1) * per_label:
-        if label:
-            name = "-".join(dict.fromkeys((pick(UNWANTED), pick(UNWANTED)))) + (str(int(rng.integers(1, 99))) if rng.random() < 0.15 else "")
-        else:
-            name = "".join(pick(ORDINARY) for _ in range(int(rng.integers(2, 4)))) + ("-" + pick(ORDINARY) + pick(ORDINARY) + pick(ORDINARY) if rng.random() < 0.03 else "")
-        host = pick(("", "", "www.", "blog.", "m.", "shop.")) + name + pick((".example.com", ".example.net", ".example.org", ".com", ".net", ".org", ".info"))
-        path = "/" + pick(("en", "fr", "de", "es", "news", "a/b", "docs/2024")) + "/" + str(int(rng.integers(1, 1000))) + pick(("", "", "/", ".html", ".php"))
-        out.append((pick(("http", "https")) + "://" + host + path + pick(("", "", "?utm_source=feed", "?page=2&ref=x", "#top")), label))
-    return out
+    return host.translate(str.maketrans(_UPPER, _LOWER)), path
 
 
 @cache
@@ -185,7 +192,8 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     The longest rule that fits decides; where none does, the model blocks from a score of 0.5 on. A null url, or one
     without ://, has an empty host and path, and the model judges it by what there is. Repeated rows and null ids are
-    rows like others; an empty table gives none.
+    rows like others; an empty table gives none. A very long url is read whole. The default model's labels are those of
+    url_labels.
     """
     trees = model or default_model()
     plain = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("_url"))
@@ -196,7 +204,7 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     def scored(batches):
         for batch in batches:
-            x = np.array([features(*row, trees.suffix_rates) for row in zip(*(batch.column(c).to_pylist() for c in ("_url", "host", "path")))], dtype=float)
+            x = np.array([features(*row, trees.statistics) for row in zip(*(batch.column(c).to_pylist() for c in ("_url", "host", "path")))], dtype=float)
             score = trees.score(x.reshape(-1, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "host", "path", "rule", "ruled")), pa.array(score)], ["id", "host", "path", "rule", "ruled", "score"])
 
