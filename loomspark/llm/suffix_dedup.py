@@ -33,8 +33,9 @@ HALF = (LENGTH - K) // 2  # a window reaches so far to the left of its anchor, o
 AT_ONCE, CELLS_AT_ONCE = 2 << 20, 20_000
 #: Text whose cells one task settles, about; and open cells that one compares.
 TASK_BYTES, TASK_CELLS = 16 << 20, 100_000
-#: Open cells that are sorted in one task; of larger groups, windows are compared by their digests, spread over tasks.
-LARGE_GROUP = 4096
+#: Open cells of one place that are sorted in one task, at some 2.5 KB each with the hashes of their prefixes; of larger
+#: places, windows are compared by their digests, spread over tasks.
+LARGE_GROUP = 20_000
 #: Bytes of a digest that tells cells apart.
 DIGEST = 12
 
@@ -91,11 +92,12 @@ def cells(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
     hashed = Hashed(data)
     starts = np.arange(len(data) - K + 1)
     grams = hashed.of(starts, starts + K)
-    least, where = grams, starts.astype("i4")
+    # High bits of the hash, then the place: of equal ones the leftmost is the least.
+    bits = _U(len(data).bit_length())
+    least = (grams >> bits << bits) | starts.astype("u8")
     for step in (1, 2, 4, 8, 16, SPAN - 32):
-        right = least[step:] < least[:-step]  # of equal ones the leftmost stays
-        where = np.where(right, where[step:], where[:-step])
-        least = np.where(right, least[step:], least[:-step])
+        least = np.minimum(least[step:], least[:-step])
+    where = (least & ((_U(1) << bits) - _U(1))).astype("i4")
     doc = np.repeat(np.arange(len(edges) - 1), np.diff(edges))[:n]
     whole = np.arange(n) + LENGTH <= edges[doc + 1]
     window = np.flatnonzero(whole)
@@ -373,14 +375,16 @@ def shared_windows(anchors: np.ndarray, ords: np.ndarray, before: np.ndarray, co
 
 
 def _cut_out(batches):
-    """The content of each open cell."""
+    """The content of each open cell, as far as the windows reach that it may share."""
     names = ["kind", "row", "ord", "a", "before", "place", "content"]
     for batch in batches:
         out: list[tuple] = []
         for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("asked")):
             data = text.as_py()
             for q in asked.as_py():
-                out.append((q["kind"], row, q["ord"], q["a"], q["p"] - q["a"], q["place"], data[q["a"] : q["e"]]))
+                low, high = _OFFSETS[q["kind"]]
+                a, e = max(q["a"], q["p"] - high), min(q["e"], q["p"] - low + LENGTH)
+                out.append((q["kind"], row, q["ord"], a, q["p"] - a, q["place"], data[a:e]))
         columns = list(zip(*out)) or [()] * 7
         yield pa.RecordBatch.from_arrays([pa.array(list(columns[0]), pa.int32()), *(pa.array(list(c), pa.int64()) for c in columns[1:6]), pa.array(list(columns[6]), pa.binary())], names)
 
