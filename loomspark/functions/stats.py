@@ -115,5 +115,11 @@ def normalised_mutual_information(table: np.ndarray) -> float:
     return (entropy(rows) + h - entropy(whole.reshape(-1))) / h if h else 0.0
 
 
+def phi(n: int, a: int, b: int, both: int) -> float:
+    """Correlation of two flags of n rows that are set in a and b of them, in `both` together; 0 if one never changes."""
+    spread = a * (n - a) * b * (n - b)
+    return (n * both - a * b) / math.sqrt(spread) if spread else 0.0
+
+
 def adjusted_r2(r2: float, n: int, parameters: int) -> float:
     return 1 - (1 - r2) * (n - 1) / (n - parameters - 1) if n > parameters + 1 else math.nan

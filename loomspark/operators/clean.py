@@ -129,13 +129,25 @@ def clean(df: DataFrame, value_types: dict[str, str], site: str = "", options: O
     return done.withColumns({n: F.coalesce(E.c(n), F.lit(x)) for n, x in fills.items()}) if fills else done, report
 
 
-def category_differences(sites: dict[str, DataFrame], columns: Sequence[str]) -> list[dict]:
-    """Values of a categorical column that one site has and another lacks. One aggregate of distinct pairs a column."""
-    out = []
-    for n in columns:
-        holders = {s: df.select(E.c(n).cast("string").alias("value")).where("value is not null").distinct() for s, df in sites.items() if n in df.columns}
-        for s, values in holders.items():
-            for t, others in holders.items():
-                if s != t:
-                    out += [{"column": n, "value": r[0], "only_at": s, "not_at": t} for r in values.join(others, "value", "left_anti").orderBy("value").limit(1000).collect()]
-    return out
+def category_differences(sites: dict[str, DataFrame], columns: Sequence[str]) -> DataFrame | None:
+    """(column, value, only_at, not_at): values of a categorical column that one site has and another lacks, all of them.
+
+    Values that differ are counted by one aggregate: what each site has once is united, and a value's sites are gathered
+    in an array that is no longer than there are sites. None if no column is in two sites.
+    """
+    holders = {n: [s for s, df in sites.items() if n in df.columns] for n in columns}
+    shared = [n for n in columns if len(holders[n]) > 1]
+    if not shared:
+        return None
+    parts = []
+    for s, df in sites.items():
+        own = [n for n in shared if n in df.columns]
+        if own:
+            cells = F.explode(F.array(*(F.struct(F.lit(n).alias("column"), E.c(n).cast("string").alias("value")) for n in own)))
+            parts.append(df.select(cells.alias("x")).select("x.*", F.lit(s).alias("site")).where("value is not null"))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
+    all_of = F.element_at(F.create_map(*(x for n in shared for x in (F.lit(n), F.array(*map(F.lit, holders[n]))))), F.col("column"))
+    found = rows.groupBy("column", "value").agg(F.collect_set("site").alias("has")).withColumn("lacks", F.array_except(all_of, "has")).where(F.size("lacks") > 0)
+    return found.select("column", "value", F.explode("has").alias("only_at"), "lacks").select("column", "value", "only_at", F.explode("lacks").alias("not_at"))

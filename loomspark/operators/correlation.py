@@ -49,6 +49,16 @@ def rank_groups(df: DataFrame, columns: Sequence[str], threshold: float = 0.9, l
     return groups, closest
 
 
+def usable_representative(group: RankGroup, excluded: Sequence[str]) -> str:
+    """The best-scoring member that isn't excluded elsewhere; "= suggested" if that is the representative, empty without
+    one."""
+    usable = [m for m in group.members if m["parameter"] not in set(excluded)]
+    if not usable:
+        return ""
+    best = max(usable, key=lambda m: m["score"])["parameter"]
+    return "= suggested" if best == group.representative else best
+
+
 def adjusted(df: DataFrame, p: str, name: str) -> DataFrame:
     """df with Benjamini-Hochberg values of its rows' p, as stats.benjamini_hochberg gives them; null and NaN give null.
 

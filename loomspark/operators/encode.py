@@ -10,17 +10,21 @@ import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
-from .windows import ordered
+from ..sources.shared import written
+from .windows import ordered, running_total
 
 #: Texts that mark a binary column's positive class.
-YES = ("yes", "y", "true", "t", "1", "positive", "pass", "passed", "done")
+YES = ("yes", "y", "true")
 MISSING = "(missing)"
+#: Groups that are dealt out to folds one by one.
+LARGE_GROUPS = 1000
 
 
 @dataclass(frozen=True)
@@ -28,14 +32,21 @@ class Knobs:
     identifier_share: float = 0.5
     few: int = 15
     some: int = 50
-    rows_per_category: float = 3.0
-    least_rows: int = 20
+    rows_per_category: float = 5.0
+    least_rows: int = 100
     top: int = 10
     smoothing: float = 10.0
     folds: int = 5
     least_buckets: int = 8
     most_buckets: int = 32
     missing_is_category: bool = False
+    one_hot: bool = True
+    target_encoding: bool = True
+    feature_hashing: bool = True
+    target_encoding_fallback: str = "hashing"
+    hashing_signed: bool = True
+    #: Means of one column that a recipe holds; a column with more categories isn't encoded by target.
+    most_means: int = 10_000
 
 
 def sanitised(name: str) -> str:
@@ -73,9 +84,9 @@ def route(df: DataFrame, columns: Sequence[str], knobs: Knobs = Knobs()) -> dict
             out[c] = ("skip", "an identifier: nearly every row has its own value")
         else:
             order = ("one_hot", "target", "hash") if k <= knobs.few else ("target", "hash", "one_hot") if k <= knobs.some else ("hash", "target", "one_hot")
-            allowed = {"one_hot": True, "target": n / k >= knobs.rows_per_category and n >= knobs.least_rows, "hash": n >= knobs.least_rows}
-            choice = next(e for e in order if allowed[e])
-            out[c] = (choice, f"{k} values in {n} rows")
+            allowed = {"one_hot": knobs.one_hot, "target": knobs.target_encoding and n / k >= knobs.rows_per_category and k <= knobs.most_means, "hash": knobs.feature_hashing and n >= knobs.least_rows}
+            choice = next((e for e in order if allowed[e]), "skip")
+            out[c] = (choice, f"{k} values in {n} rows" + ("" if choice != "skip" else ", and no encoder for them"))
     return out
 
 
@@ -108,13 +119,16 @@ def smoothed(total: Column, n: Column, prior: Column | float, weight: float) ->
 def fit_target(df: DataFrame, column: str, target: str, taken: set[str], knobs: Knobs = Knobs()) -> dict:
     prior = df.agg(F.avg(E.c(target))).first()[0]
     rows = df.select(labels(E.c(column), knobs).alias("category"), E.c(target).alias("y")).where("category is not null and y is not null").groupBy("category").agg(smoothed(F.sum("y"), F.count("y"), F.lit(prior), knobs.smoothing).alias("mean"))
-    return {"encoder": "target", "column": column, "prior": prior, "means": {r["category"]: r["mean"] for r in rows.collect()}, "output": [unique_name(f"{sanitised(column)}_target_mean", taken)]}
+    found = rows.limit(knobs.most_means + 1).collect()
+    if len(found) > knobs.most_means:
+        raise ValueError(f"{column}: over {knobs.most_means} categories; hash them instead")
+    return {"encoder": "target", "column": column, "prior": prior, "means": {r["category"]: r["mean"] for r in found}, "output": [unique_name(f"{sanitised(column)}_target_mean", taken)]}
 
 
 def fit_hashed(df: DataFrame, column: str, taken: set[str], knobs: Knobs = Knobs()) -> dict:
     k = df.agg(F.count_distinct(labels(E.c(column), knobs))).first()[0]
     width = min(max(2 ** math.ceil(math.log2(max(k, 1))), knobs.least_buckets), knobs.most_buckets)
-    return {"encoder": "hash", "column": column, "buckets": width, "output": [unique_name(f"{sanitised(column)}_hash_{b}", taken) for b in range(width)]}
+    return {"encoder": "hash", "column": column, "buckets": width, "signed": knobs.hashing_signed, "output": [unique_name(f"{sanitised(column)}_hash_{b}", taken) for b in range(width)]}
 
 
 def parsed_order(value: str) -> list[str] | None:
@@ -152,7 +166,8 @@ def applied(state: dict, knobs: Knobs = Knobs()) -> dict[str, Column]:
         return {out[0]: F.when(x.isNotNull(), F.coalesce(found, F.lit(state["prior"])))}
     if kind == "hash":
         bucket, sign = E.bucket_and_sign(state["column"], x, state["buckets"])
-        return {n: F.when(x.isNotNull(), F.when(bucket == b, sign).otherwise(0)) for b, n in enumerate(out)}
+        cell = sign if state.get("signed", True) else F.lit(1)
+        return {n: F.when(x.isNotNull(), F.when(bucket == b, cell).otherwise(0)) for b, n in enumerate(out)}
     if kind == "ordinal":
         return {out[0]: F.nullif(F.array_position(F.array(*map(F.lit, state["order"])), x), F.lit(0)).cast("int")}
     raise ValueError(f"unknown encoder {kind!r}")
@@ -164,24 +179,35 @@ def applied(state: dict, knobs: Knobs = Knobs()) -> dict[str, Column]:
 def folds(df: DataFrame, k: int, seed: int = 0, groups: str | None = None, order: str | None = None, id_column: str | None = None, name: str = "_fold") -> DataFrame:
     """df with a fold of 0 to k - 1.
 
-    groups: whole groups go to one fold, the largest first, each to the fold with the fewest rows (for many groups, by
-    hash). order: blocks of equal size by rank, earliest first. Else by a hash of the id and the seed, so that a row's
-    fold doesn't depend on the other rows.
+    groups: whole groups go to one fold. The LARGE_GROUPS largest go, the largest first, to the fold with the fewest rows;
+    no other group has more than a LARGE_GROUPS-th of all rows, and those fill what room the folds have left, in the
+    order of a hash. order: blocks of equal size by rank, earliest first. Else by a hash of the id and the seed, so that
+    a row's fold doesn't depend on the other rows.
     """
     if order:
         n = df.count()
         return ordered(df, order, id_column).withColumn(name, F.least(F.floor((F.col("_seq") - 1) * k / max(1, n)), F.lit(k - 1)).cast("int")).drop("_seq")
     if groups:
-        sizes = df.groupBy(E.c(groups).cast("string").alias("g")).count()
-        if sizes.limit(10_001).count() <= 10_000:
-            load, of = [0] * k, {}
-            for r in sizes.orderBy(F.desc("count"), "g").collect():
-                at = load.index(min(load))
-                of[r["g"]] = at
-                load[at] += r["count"]
-            table = df.sparkSession.createDataFrame([(g, f) for g, f in of.items()], f"_g string, {name} int")
-            return df.join(F.broadcast(table), E.c(groups).cast("string").eqNullSafe(F.col("_g")), "left").drop("_g")
-        return df.withColumn(name, F.pmod(F.xxhash64(E.c(groups).cast("string"), F.lit(seed)), F.lit(k)).cast("int"))
+        key = F.coalesce(E.c(groups).cast("string"), F.lit(MISSING))
+        sizes = written(df.groupBy(key.alias("_g")).agg(F.count(F.lit(1)).alias("_n")), "fold-groups")
+        rows = sizes.agg(F.sum("_n")).first()[0] or 0
+        load, of = [0] * k, {}
+        for r in sizes.orderBy(F.desc("_n"), "_g").limit(LARGE_GROUPS).collect():
+            at = load.index(min(load))
+            of[r["_g"]] = at
+            load[at] += r["_n"]
+        table = df.sparkSession.createDataFrame(list(of.items()), f"_g string, {name} int")
+        rest = sizes.join(F.broadcast(table.select("_g")), "_g", "left_anti")
+        # Each fold takes what brings it to an equal share, on a line of all rows that are left.
+        room = [max(0.0, rows / k - x) for x in load]
+        left = max(1, rows - sum(load))
+        edges = [left * x / (sum(room) or 1) for x in accumulate(room)]
+        placed = running_total(rest.withColumn("_order", F.struct(F.xxhash64("_g", F.lit(seed)).alias("h"), F.col("_g").alias("g"))), "_order", "_n", "_before")
+        fold = F.lit(k - 1)
+        for f in reversed(range(k - 1)):
+            fold = F.when(F.col("_before") < edges[f], f).otherwise(fold)
+        dealt = table.union(placed.select("_g", fold.cast("int").alias(name)))
+        return df.withColumn("_g", key).join(dealt, "_g", "left").drop("_g")
     key = E.c(id_column) if id_column else F.monotonically_increasing_id()
     return df.withColumn(name, F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(k)).cast("int"))
 
@@ -215,7 +241,7 @@ def crossfitted(df: DataFrame, column: str, target: str, fold: str, output: str,
 # --- numbers -------------------------------------------------------------------------------------------------------
 
 
-def near_constant(df: DataFrame, columns: Sequence[str], tolerance: float = 1e-9) -> list[str]:
+def near_constant(df: DataFrame, columns: Sequence[str], tolerance: float = 1e-4) -> list[str]:
     """Columns with fewer than two values at nine decimals, or with a spread within tolerance of their size."""
     if not columns:
         return []

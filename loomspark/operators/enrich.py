@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
+from ..sources.shared import written
 
 
 class AmbiguousLookup(ValueError):
@@ -23,10 +24,19 @@ def find_key(df: DataFrame, candidates: Sequence[str], what: str) -> str:
     return found
 
 
-def unique_lookup(lookup: DataFrame, key: str, what: str, check: bool = True) -> DataFrame:
-    """Rows with a key, trimmed, identical ones once. Two different records of a key are refused: one aggregate."""
-    rows = lookup.withColumn(key, E.key_text(key)).where(E.c(key).isNotNull()).dropDuplicates()
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _key(df: DataFrame, column: str, whole: bool) -> Column:
+    return E.c(column).cast("bigint") if whole else E.key_text(column)
+
+
+def unique_lookup(lookup: DataFrame, key: str, what: str, check: bool = True, whole: bool = False) -> DataFrame:
+    """Rows with a key, as trimmed text (whole: as a whole number), identical ones once. Two different records of a key
+    are refused: one aggregate, over the look-up as it is written for the join."""
+    rows = lookup.withColumn(key, _key(lookup, key, whole)).where(E.c(key).isNotNull()).dropDuplicates()
     if check:
+        rows = written(rows, "lookup")
         twice = [r[0] for r in rows.groupBy(E.c(key).alias("key")).count().where("count > 1").orderBy("key").limit(5).collect()]
         if twice:
             raise AmbiguousLookup(f"{what}: different records for {', '.join(map(str, twice))}")
@@ -36,13 +46,21 @@ def unique_lookup(lookup: DataFrame, key: str, what: str, check: bool = True) ->
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None, what: str = "lookup", check: bool = True, columns: Sequence[str] | None = None, prefix: str = "") -> DataFrame:
     """df with the look-up's columns: same rows, nulls where the key isn't found; a null key finds nothing.
 
-    Columns that df has already stay df's. Whether the look-up is broadcast is left to its measured size.
+    Columns that df has already stay df's. Whether the look-up is broadcast is left to its measured size. Keys that are
+    whole numbers on both sides are compared as such, others as trimmed text. Rows with a null key are spread over all
+    tasks of a shuffle instead of meeting in one.
     """
     other = lookup_key or key
-    rows = unique_lookup(lookup, other, what, check)
+    whole = dict(df.dtypes)[key] in _WHOLE and dict(lookup.dtypes)[other] in _WHOLE
+    if columns is not None:
+        lookup = lookup.select(*(E.c(c) for c in dict.fromkeys((other, *columns)) if c in lookup.columns))
+    rows = unique_lookup(lookup, other, what, check, whole)
     chosen = [c for c in (columns if columns is not None else rows.columns) if c != other and c in rows.columns and prefix + c not in df.columns]
-    right = rows.select(E.c(other).alias("_lookup_key"), *(E.c(c).alias(prefix + c) for c in chosen))
-    return df.join(right, E.key_text(key) == F.col("_lookup_key"), "left").drop("_lookup_key")
+    # Not a literal, which the optimiser would take out of the join's keys.
+    right = rows.select(E.c(other).alias("_lookup_key"), F.when(E.c(other).isNotNull(), 0).alias("_lookup_spread"), *(E.c(c).alias(prefix + c) for c in chosen))
+    k = _key(df, key, whole)
+    left = df.select("*", k.alias("_own_key"), F.when(k.isNull(), F.pmod(F.xxhash64(*map(E.c, df.columns)), F.lit(4096)).cast("int")).otherwise(0).alias("_own_spread"))
+    return left.join(right, (F.col("_own_key") == F.col("_lookup_key")) & (F.col("_own_spread") == F.col("_lookup_spread")), "left").drop("_own_key", "_own_spread", "_lookup_key", "_lookup_spread")
 
 
 def coverage(df: DataFrame, witness: str) -> float:

@@ -82,6 +82,7 @@ class Bounds:
     present: float = 0.5
     rows_per_category: int = 5
     pool_below: float = 0.01
+    self_correlation: float = 0.3
 
 
 def groups(df: DataFrame, columns: Sequence[str], bounds: Bounds = Bounds()) -> list[Group]:
@@ -101,24 +102,35 @@ def groups(df: DataFrame, columns: Sequence[str], bounds: Bounds = Bounds()) ->
 
 def explained(df: DataFrame, group: Sequence[str], candidates: Sequence[str], bounds: Bounds = Bounds()) -> list[dict]:
     """Categorical columns by how well they tell whether the group is missing: normalised mutual information, the worst
-    category, its rate and the share of all missing rows that it covers."""
+    category, its rate, the share of all missing rows that it covers, and whether the column is itself missing along
+    with the group (self_correlated).
+
+    A candidate has a value in enough of the rows, few enough categories, and enough rows for each of them. Categories
+    below pool_below of a column's rows are pooled as "other", of which at most 1 / pool_below others remain; what is
+    pooled counts like the rest.
+    """
     gone = E.c(group[0]).isNull()
     for c in group[1:]:
         gone = gone | E.c(c).isNull()
+    if not candidates:
+        return []
+    per = lambda k, c: (F.count(E.c(c)).alias(f"n{k}"), F.count_if(E.c(c).isNull() & gone).alias(f"both{k}"))
+    first = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(gone).alias("gone"), *(x for k, c in enumerate(candidates) for x in per(k, c))).first()
     out = []
-    for c in candidates:
-        counts = df.where(E.c(c).isNotNull()).groupBy(E.c(c).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("n"), F.count_if(gone).alias("missing")).orderBy(F.desc("n"), "category").limit(20_000).collect()
-        rows = sum(r["n"] for r in counts)
-        table: dict[str, list[int]] = {}
-        for r in counts:
-            name = r["category"] if r["n"] >= bounds.pool_below * rows else "other"
-            cell = table.setdefault(name, [0, 0])
-            cell[0] += r["n"]
-            cell[1] += r["missing"]
-        if not bounds.categories[0] <= len(table) <= bounds.categories[1] or rows < bounds.rows_per_category * len(table):
+    for k, c in enumerate(candidates):
+        rows = first[f"n{k}"]
+        if not rows or rows < bounds.present * first["rows"]:
+            continue
+        counts = df.where(E.c(c).isNotNull()).groupBy(E.c(c).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("n"), F.count_if(gone).alias("missing"))
+        name = F.when(F.col("n") < bounds.pool_below * rows, "other").otherwise(F.col("category"))
+        pooled = counts.groupBy(name.alias("category")).agg(F.sum("n").alias("n"), F.sum("missing").alias("missing"), F.count(F.lit(1)).alias("values")).collect()
+        values = sum(r["values"] for r in pooled)
+        if not bounds.categories[0] <= values <= bounds.categories[1] or rows < bounds.rows_per_category * values:
             continue
+        table = {r["category"]: (r["n"], r["missing"]) for r in pooled}
         t = np.array([[n - m, m] for n, m in table.values()], dtype=float)
-        worst = max(table, key=lambda k: (table[k][1] / table[k][0], table[k][1], k))
+        worst = max(table, key=lambda x: (table[x][1] / table[x][0], table[x][1], x))
         total = t[:, 1].sum()
-        out.append({"column": c, "score": stats.normalised_mutual_information(t), "category": worst, "rate": table[worst][1] / table[worst][0], "covers": table[worst][1] / total if total else 0.0})
+        phi = stats.phi(first["rows"], first["rows"] - rows, first["gone"], first[f"both{k}"])
+        out.append({"column": c, "score": stats.normalised_mutual_information(t), "category": worst, "rate": table[worst][1] / table[worst][0], "covers": table[worst][1] / total if total else 0.0, "self_correlated": abs(phi) > bounds.self_correlation})
     return sorted(out, key=lambda r: (-r["score"], r["column"]))

@@ -13,10 +13,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as E
+from ..session import reach_workers
+from ..sources.shared import written
+from .skew import hot_join
 from .windows import running_total
 
 
@@ -79,31 +83,45 @@ def pearson(df: DataFrame, columns: Sequence[str], least: int = 3) -> Pairwise:
 def ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Average ranks of each column among its own values; null stays null.
 
-    A distinct value's rank follows from the counts of smaller ones. Counts are aggregated by value; the running total is
-    over distinct values, by column, in ranges of values so that no column is gathered in one task.
+    All columns are ranked together, as rows (column, value): a distinct value's rank follows from the counts of smaller
+    ones. Counts are aggregated by value; the running total is over distinct values, in ranges, so that no column is
+    gathered in one task; a frequent value meets its rank by a broadcast. The frame is shuffled once to get its rows back.
     """
-    numbered = df.select(F.monotonically_increasing_id().alias("_row"), *(E.c(c).cast("double").alias(f"x{k}") for k, c in enumerate(columns)))
-    out = numbered.select("_row", *(f"x{k}" for k in range(len(columns))))
-    for k in range(len(columns)):
-        counts = numbered.where(F.col(f"x{k}").isNotNull()).groupBy(F.col(f"x{k}").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        placed = running_total(counts, "v", "n", "before").select(F.col("v").alias(f"v{k}"), (F.col("before") + (F.col("n") + 1) / 2).alias(f"r{k}"))
-        out = out.join(placed, F.col(f"x{k}") == F.col(f"v{k}"), "left").drop(f"v{k}", f"x{k}")
-    return out.select(*(F.col(f"r{k}").alias(c) for k, c in enumerate(columns)))
-
-
-def spearman(df: DataFrame, columns: Sequence[str], least: int = 3, cells_on_driver: int = 2_000_000) -> Pairwise:
+    p = len(columns)
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), F.array(*(E.c(c).cast("double") for c in columns)).alias("_x"))
+    long = numbered.select("_row", F.posexplode("_x").alias("k", "v"))
+    known = long.where("v is not null")
+    counts = known.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    before = F.broadcast(counts.groupBy("k").agg(F.sum("n").alias("m")).select("k", F.coalesce(F.sum("m").over(W.orderBy("k").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base")))  # a row for each column
+    placed = written(running_total(counts.select(F.struct("k", "v").alias("kv"), "n"), "kv", "n", "before").select("kv.*", "n", "before").join(before, "k").select("k", "v", "n", (F.col("before") - F.col("base") + (F.col("n") + 1) / 2).alias("r")), "ranks")
+    ranked = hot_join(known, placed, ["k", "v"], "n")
+    wide = ranked.unionByName(long.where("v is null").withColumns({"n": F.lit(0).cast("long"), "r": F.lit(None).cast("double")})).groupBy("_row").agg(*(F.max(F.when(F.col("k") == k, F.col("r"))).alias(f"r{k}") for k in range(p)))
+    return wide.select(*(F.col(f"r{k}").alias(c) for k, c in enumerate(columns)))
+
+
+def spearman(df: DataFrame, columns: Sequence[str], least: int = 3, cells_in_task: int = 2_000_000) -> Pairwise:
     """Ranks within each pair's complete rows. Columns with one missing pattern are ranked together, once for each pair of
-    patterns; a frame of at most cells_on_driver cells is ranked on the driver.
+    patterns; a frame of at most cells_in_task cells (16 bytes each) is ranked in one task, with the same result.
     """
+    names, p = list(columns), len(columns)
+    if not p:
+        return Pairwise([], np.zeros((0, 0)), np.zeros((0, 0)))
     rows = df.count()
-    if rows * len(columns) <= cells_on_driver:
-        x = np.array([[v if v is not None else np.nan for v in r] for r in df.select(*(E.c(c).cast("double") for c in columns)).collect()], dtype=float).reshape(-1, len(columns))
-        return spearman_matrix(x, list(columns), least)
+    if rows * p <= cells_in_task:
+        numbers = df.select(*(E.c(c).cast("double").alias(f"x{k}") for k, c in enumerate(names)))
+
+        def matrix(batches):
+            parts = [pdf.to_numpy(dtype=float) for pdf in batches]
+            found = spearman_matrix(np.concatenate(parts) if parts else np.zeros((0, p)), names, least)
+            yield pd.DataFrame({"sums": [np.concatenate([found.n.reshape(-1), found.r.reshape(-1)]).tolist()]})
+
+        reach_workers(df.sparkSession)
+        n, r = np.array(numbers.coalesce(1).mapInPandas(matrix, _SUMS).first()["sums"], dtype=float).reshape(2, p, p)
+        return Pairwise(names, n, r)
     masks = df.agg(*(F.sum(F.xxhash64(F.struct(*map(E.c, columns))).cast("decimal(38,0)") * E.c(c).isNotNull().cast("int")).alias(f"m{k}") for k, c in enumerate(columns))).first()
     patterns: dict[object, list[str]] = {}
     for k, c in enumerate(columns):
         patterns.setdefault(masks[k], []).append(c)
-    names, p = list(columns), len(columns)
     n, r = np.zeros((p, p)), np.full((p, p), np.nan)
     groups = list(patterns.values())
     for i, a in enumerate(groups):

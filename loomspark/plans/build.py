@@ -16,7 +16,7 @@ from ..operators import clean, cohort, correlation, corrections, derive, enrich,
 from ..operators.vocabulary import Vocabulary
 from ..sources import readers, sinks
 from . import config as C
-from . import dataset, manifest, provenance, report
+from . import dataset, events, manifest, provenance, report
 from .recipe import Recipe
 from .spec import Task
 
@@ -97,11 +97,32 @@ def analyses(table: DataFrame, catalog: readers.Catalog, order: str, threshold:
     return {"profiles": profiles, "groups": groups, "ranks": ranks, "closest": closest, "shifts": tested, "shift_groups": by_plant}
 
 
+def _tell(built: Built) -> None:
+    """What cleaning, joins and features of a build should be looked at for."""
+    for r in built.cleaning:
+        for c, n in r.unreadable.items():
+            events.log.warn("clean", f"{r.site}: {n} cells of {c} can't be read", ", ".join(r.examples.get(c, ())))
+        for c, n in r.out_of_percent.items():
+            events.log.warn("clean", f"{r.site}: {n} cells of {c} lie outside 0 to 100 %")
+        for o in r.corrections:
+            if o.skipped:
+                events.log.info("corrections", f"{o.rule} on {o.column}: {o.skipped}")
+    for site, f in built.features.items():
+        if n := f.count("errored"):
+            events.log.warn("features", f"{site}: {n} features could not be computed")
+    if built.checks.duplicate_ids:
+        events.log.warn("checks", f"{len(built.checks.duplicate_ids)} ids repeat")
+
+
 def run_build(spark: SparkSession, inputs: Inputs, config: dict, sites: Sequence[str] | None = None, order: str | None = None) -> Path:
     """The batch table as Parquet by site, and a package with report, evidence and manifest."""
-    started, root = datetime.now(UTC), Path(config["output"])
+    started, root, mark = datetime.now(UTC), Path(config["output"]), events.log.mark()
+    events.log.step("build", f"batch table of {', '.join(sites or (config['site'],))}")
+    for w in inputs.catalog.warnings:
+        events.log.warn("catalog", w)
     with sinks.package(root, "build") as pkg:
         built = batch_table(inputs, config, sites)
+        _tell(built)
         at = str(root / "tables" / pkg.id / "batch_table.parquet")
         sinks.write_parquet(built.table, at, [merge.SITE])
         table = spark.read.parquet(at)
@@ -114,7 +135,10 @@ def run_build(spark: SparkSession, inputs: Inputs, config: dict, sites: Sequence
         pkg.rows("missingness.csv", found["profiles"])
         pkg.rows("shifts.csv", found["shifts"])
         pkg.rows("features.csv", first.entries)
-        record = manifest.envelope("build", pkg.id, started, "complete", provenance.capture(spark, inputs.sources, config, config.get("seed", 0)), manifest.files(pkg.staging, pkg.written), inputs.catalog.warnings, [], content_digest=digest, catalog_digest=provenance.config_digest({"rows": inputs.catalog.rows}), table=at)
+        events.log.success("build", f"{built.checks.rows} rows")
+        said = events.log.since(mark)
+        pkg.text("run.log", events.text(said))
+        record = manifest.envelope("build", pkg.id, started, "complete", provenance.capture(spark, inputs.sources, config, config.get("seed", 0)), manifest.files(pkg.staging, pkg.written), events.told(said, "warning"), [], content_digest=digest, catalog_digest=provenance.config_digest({"rows": inputs.catalog.rows}), table=at)
         pkg.text("manifest.json", manifest.dumps(record))
     return pkg.destination
 
@@ -130,7 +154,8 @@ def run_catalog(spark: SparkSession, inputs: Inputs, config: dict) -> dict[str,
 
 def run_task(spark: SparkSession, table: DataFrame, task: Task, root: str, catalog: readers.Catalog | None = None, log: Sequence[screening.Decision] = (), sites: Sequence[str] = (), config: dict | None = None) -> Path:
     """A package with the raw and encoded table, recipe, decisions and report; it can be run again from its own copies."""
-    started = datetime.now(UTC)
+    started, mark = datetime.now(UTC), events.log.mark()
+    events.log.step("task", task.name)
     if task.site and merge.SITE in table.columns:
         cohort.only_site(table, merge.SITE, task.site)
     screened = {}
@@ -153,7 +178,12 @@ def run_task(spark: SparkSession, table: DataFrame, task: Task, root: str, catal
         payload = report.task_payload(task, d)
         pkg.json("report.json", payload)
         pkg.text("report.html", sinks.page(payload, task.name))
-        record = manifest.envelope("task", pkg.id, started, "complete", provenance.capture(spark, [], config or {}, task.seed), manifest.files(pkg.staging, pkg.written), d.notes, [], content_digest=provenance.frame_digest(table))
+        for note in d.notes:
+            events.log.warn("task", note)
+        events.log.success("task", f"{d.target.rows - d.target.missing - d.target.unreadable} rows, {len(d.recipe.output)} columns")
+        said = events.log.since(mark)
+        pkg.text("run.log", events.text(said))
+        record = manifest.envelope("task", pkg.id, started, "complete", provenance.capture(spark, [], config or {}, task.seed), manifest.files(pkg.staging, pkg.written), events.told(said, "warning"), [], content_digest=provenance.frame_digest(table))
         pkg.text("manifest.json", manifest.dumps(record))
         d.raw.unpersist()
     return pkg.destination

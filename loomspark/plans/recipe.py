@@ -26,12 +26,13 @@ class Options:
     encode: encode.Knobs = encode.Knobs()
     cluster: decorrelate.Knobs = decorrelate.Knobs()
     action: str = "describe"
-    least_present: float = 0.5
+    least_values: int = 20
     indicators: bool = False
-    impute: bool = True
+    impute: bool = False
     prefer: tuple[str, ...] = ()
     durations: tuple[str, ...] = ()
-    proxy_r2: float = 0.98
+    proxy_correlation: float = 0.95
+    proxy_shared: int = 8
 
 
 @dataclass
@@ -85,12 +86,15 @@ class Recipe:
 
 
 def fit(df: DataFrame, predictors: Sequence[str], options: Options = Options(), orders: dict[str, list[str]] | None = None, site: str | None = None) -> Recipe:
-    """df has _target. Routing, encoders, numbers, sparse and constant columns, duplicates, clusters, indicators, medians."""
+    """df has _target. Routing, encoders, numbers, duplicates, clusters; of all that comes out, sparse and constant columns
+    go; then indicators, medians, and notes on what is nearly the target."""
     kinds = dict(df.dtypes)
     recipe = Recipe({c: kinds[c] for c in predictors}, missing_is_category=options.encode.missing_is_category)
     taken: set[str] = set(predictors)
     ordinal = {c: o for c, o in (orders or {}).items() if c in predictors}
     categorical = [c for c in predictors if kinds[c] in ("string", "boolean") and c not in ordinal]
+    low, high = df.agg(F.min(E.c(TARGET)), F.max(E.c(TARGET))).first()
+    varied = low is not None and low != high
     for c, (choice, why) in encode.route(df, categorical, options.encode).items():
         if choice == "skip":
             recipe.dropped.append({"column": c, "stage": "routing", "reason": why})
@@ -98,8 +102,10 @@ def fit(df: DataFrame, predictors: Sequence[str], options: Options = Options(),
             recipe.encoders.append(encode.fit_binary(df, c, taken, options.encode))
         elif choice == "one_hot":
             recipe.encoders.append(encode.fit_one_hot(df, c, taken, options.encode))
-        elif choice == "target":
+        elif choice == "target" and varied:
             recipe.encoders.append(encode.fit_target(df, c, TARGET, taken, options.encode))
+        elif choice == "target" and options.encode.target_encoding_fallback == "stop":
+            raise ValueError(f"{c}: the target is the same in all rows, so nothing can be encoded by it")
         else:
             recipe.encoders.append(encode.fit_hashed(df, c, taken, options.encode))
     recipe.encoders += [encode.fit_ordinal(c, o, taken) for c, o in ordinal.items()]
@@ -109,32 +115,37 @@ def fit(df: DataFrame, predictors: Sequence[str], options: Options = Options(),
     recipe.numeric = numeric
 
     values = recipe._encoded(df, [TARGET]).cache()
+    rest = list(numeric)
+    if len(rest) > 1:
+        p = decorrelate.correlations(values, rest, options.cluster)
+        twins = decorrelate.duplicates(p, options.prefer, options.cluster.duplicate_r2, options.cluster.least_shared)
+        recipe.dropped += [{"column": c, "stage": "duplicate", "reason": f"the same as {k}"} for c, k in twins.items()]
+        rest = [c for c in rest if c not in twins]
     if numeric:
-        found = values.agg(F.count(F.lit(1)).alias("n"), *(F.count(E.c(c)).alias(f"c{k}") for k, c in enumerate(numeric))).first()
-        sparse = [c for k, c in enumerate(numeric) if found[f"c{k}"] < options.least_present * found["n"]]
-        flat = encode.near_constant(values, [c for c in numeric if c not in sparse])
-        recipe.dropped += [{"column": c, "stage": "sparse", "reason": "too few values"} for c in sparse] + [{"column": c, "stage": "constant", "reason": "hardly varies"} for c in flat]
-        rest = [c for c in numeric if c not in sparse and c not in flat]
-        if len(rest) > 1:
-            p = decorrelate.correlations(values, rest, options.cluster)
-            twins = decorrelate.duplicates(p, options.prefer, options.cluster.duplicate_r2, options.cluster.least_shared)
-            recipe.dropped += [{"column": c, "stage": "duplicate", "reason": f"the same as {k}"} for c, k in twins.items()]
-            rest = [c for c in rest if c not in twins]
         fitted = decorrelate.fit(values, rest, options.action, options.cluster, options.prefer, site=None)
         recipe.clusters = asdict(fitted)
-        final = decorrelate.transform(values.select(*(E.c(c) for c in rest)), fitted).columns
-        pair = decorrelate.S.pearson(values, [TARGET, *rest]) if rest else None
-        recipe.notes += [f"{c} is nearly the target" for c in rest if pair.of(TARGET, c) ** 2 >= options.proxy_r2] if pair else []
-    else:
-        final = []
+        rest = decorrelate.transform(values.select(*(E.c(c) for c in rest)), fitted).columns
     encoded = [n for e in recipe.encoders for n in e["output"]]
     finished = decorrelate.transform(values, decorrelate.Fitted(**recipe.clusters)) if recipe.clusters else values
+
+    made = [*rest, *encoded]
+    present = finished.agg(F.count(F.lit(1)), *(F.count(E.c(c)) for c in made)).first() if made else (0,)
+    thin = [c for c, n in zip(made, present[1:]) if n < options.least_values]
+    flat = encode.near_constant(finished, [c for c in made if c not in thin])
+    recipe.dropped += [{"column": c, "stage": "sparse", "reason": f"under {options.least_values} values"} for c in thin] + [{"column": c, "stage": "constant", "reason": "hardly varies"} for c in flat]
+    final, encoded = ([c for c in xs if c not in thin and c not in flat] for xs in (rest, encoded))
+    if made and not final and not encoded:
+        values.unpersist()
+        raise ValueError("every predictor was dropped: " + "; ".join(f"{d['column']}: {d['reason']}" for d in recipe.dropped))
     if options.indicators:
-        gaps = finished.agg(*(F.count_if(E.c(c).isNull()).alias(f"g{k}") for k, c in enumerate(final))).first() if final else ()
-        recipe.indicators = {c: encode.unique_name(f"{encode.sanitised(c)}_missing", taken) for k, c in enumerate(final) if gaps[k]}
+        everything = [*final, *encoded]
+        recipe.indicators = {c: encode.unique_name(f"{encode.sanitised(c)}_missing", taken) for c in everything if present[1 + made.index(c)] < present[0]}
     if options.impute and (everything := [*final, *encoded]):
         middle = finished.agg(*(F.percentile(E.c(c), F.lit(0.5)).alias(f"m{k}") for k, c in enumerate(everything))).first()
         recipe.medians = {c: float(middle[k]) for k, c in enumerate(everything) if middle[k] is not None}
+    if (everything := [*final, *encoded]) and options.proxy_correlation > 0:
+        pair = decorrelate.S.pearson(finished, [TARGET, *everything])
+        recipe.notes += [f"{c} is nearly the target" for k, c in enumerate(everything, 1) if pair.n[0, k] >= options.proxy_shared and abs(pair.r[0, k]) >= options.proxy_correlation]
     recipe.output = [*final, *encoded, *recipe.indicators.values()]
     values.unpersist()
     return recipe

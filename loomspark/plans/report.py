@@ -52,7 +52,7 @@ def dicts(rows: Sequence[dict]) -> dict | None:
     return table(list(rows[0]), [list(r.values()) for r in rows]) if rows else None
 
 
-def build_payload(overview: dict, cleaning: Sequence, features: derive.Applied, checks, profiles: Sequence[dict], groups: Sequence[missingness.Group], ranks: Sequence[correlation.RankGroup], origins: dict[str, str] | None = None) -> dict:
+def build_payload(overview: dict, cleaning: Sequence, features: derive.Applied, checks, profiles: Sequence[dict], groups: Sequence[missingness.Group], ranks: Sequence[correlation.RankGroup], origins: dict[str, str] | None = None, excluded: Sequence[str] = ()) -> dict:
     blocks = [heading("Batch table"), facts(overview)]
     for r in cleaning:
         rows = [(kind, c, n) for kind, found in (("trimmed", r.cells_stripped), ("limits", r.censored), ("unreadable", r.unreadable), ("outside 0-100 %", r.out_of_percent), ("filled", r.filled)) for c, n in found.items()]
@@ -60,7 +60,7 @@ def build_payload(overview: dict, cleaning: Sequence, features: derive.Applied,
     blocks += [heading("Derived columns"), facts({s: features.count(s) for s in ("created", "present", "blocked", "errored", "not in catalog")}), collapsed("Each of them", [dicts(features.entries)])]
     blocks += [heading("Catalog"), facts({"in the catalog, not in the data": len(checks.not_in_data), "in the data, not in the catalog": len(checks.not_in_catalog), "never recorded": len(checks.empty), "ids that repeat": len(checks.duplicate_ids)})]
     blocks += [heading("Missing values"), dicts(profiles), dicts([{"group": g.name, "members": "; ".join(g.members), "tightness": round(g.tightness, 3)} for g in groups])]
-    blocks += [heading("Rank correlation"), dicts([{"group": g.name, "representative": g.representative, "members": "; ".join(m["parameter"] for m in g.members), "weakest": round(g.weakest, 3), "shared": g.shared} for g in ranks])]
+    blocks += [heading("Rank correlation"), dicts([{"group": g.name, "representative": g.representative, "usable": correlation.usable_representative(g, excluded), "members": "; ".join(m["parameter"] for m in g.members), "weakest": round(g.weakest, 3), "shared": g.shared} for g in ranks])]
     if origins:
         blocks += [heading("Where columns come from"), table(("column", "origin"), sorted(origins.items()))]
     return {"title": "Batch table", "blocks": cleaned(blocks)}
@@ -108,14 +108,17 @@ def missing_bars(profiles: Sequence[dict], most: int = 40) -> dict:
     return {"columns": [r["column"] for r in rows], "rates": [r["missing"] / max(1, r["n"]) for r in rows]}
 
 
-def missing_strings(df, columns: Sequence[str], order: str) -> dict[str, str]:
-    """Each column's missing cells in order, as 0 and 1; for tables that a person looks at, up to 10,000 rows."""
+def missing_strings(df, columns: Sequence[str], order: str, most: int = 10_000) -> dict[str, str]:
+    """Each column's missing cells in order, as 0 and 1. A drawing has at most `most` places: of a longer table each place
+    stands for equally many neighbouring rows, and is 1 if more than half of them are missing."""
     from pyspark.sql import functions as F
 
     from ..functions import exprs as E
 
-    bits = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(E.c(order).isNull().alias("none"), E.c(order).alias("at"), F.col("_r").alias("tie"), E.c(c).isNull().cast("int").alias("bit")))), lambda x: x["bit"].cast("string")), "").alias(f"b{k}") for k, c in enumerate(columns)]
-    if df.limit(10_001).count() > 10_000:
-        raise ValueError("too many rows to look at one by one")
-    found = df.withColumn("_r", F.monotonically_increasing_id()).agg(*bits).first()
-    return {c: found[k] for k, c in enumerate(columns)}
+    from ..operators.windows import ordered
+
+    rows = df.count()
+    width = max(1, -(-rows // most))
+    place = F.floor((F.col("_seq") - 1) / width)
+    shares = ordered(df.select(E.c(order), *(E.c(c).isNull().cast("int").alias(f"_b{k}") for k, c in enumerate(columns))), order).groupBy(place.alias("_at")).agg(*(F.avg(f"_b{k}").alias(f"_b{k}") for k in range(len(columns)))).orderBy("_at").collect()
+    return {c: "".join("1" if r[f"_b{k}"] > 0.5 else "0" for r in shares) for k, c in enumerate(columns)}

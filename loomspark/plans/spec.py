@@ -132,6 +132,8 @@ def parse(raw: dict) -> Task:
     action, stable = cl.pop("action", "describe"), cl.pop("min_stability", None)
     if action not in decorrelate.ACTIONS:
         faults.append(f"clustering.action must be one of {', '.join(decorrelate.ACTIONS)}")
+    if section("encoding").get("target_encoding_fallback", "hashing") not in ("hashing", "stop"):
+        faults.append("encoding.target_encoding_fallback must be hashing or stop")
     exclude = {}
     for n, x in enumerate(p.get("exclude") or [], 1):
         if isinstance(x, dict) and x.get("column") and x.get("reason"):
@@ -144,7 +146,7 @@ def parse(raw: dict) -> Task:
             pair = list(categories.get(column, ((), ())))
             pair[k] = tuple(values if isinstance(values, list) else [values])
             categories[column] = tuple(pair)
-    options = recipe.Options(_knobs(encode.Knobs, section("encoding"), "encoding", faults), _knobs(decorrelate.Knobs, cl, "clustering", faults), action, float(m.get("least_present", 0.5)), bool(m.get("indicators", False)), bool(m.get("impute", True)), tuple(p.get("prefer") or ()))
+    options = recipe.Options(_knobs(encode.Knobs, section("encoding"), "encoding", faults), _knobs(decorrelate.Knobs, cl, "clustering", faults), action, int(m.get("least_values", 20)), bool(m.get("indicators", False)), bool(m.get("impute", False)), tuple(p.get("prefer") or ()))
     if faults:
         raise ValueError("task: " + "; ".join(faults))
     head = section("task")

@@ -262,6 +262,50 @@ def derived_registry(spark, sf):
     return out.select("o_orderkey", r("f_pt_cd3_cells", 4).alias("f_pt_cd3_cells"), r("f_pt_cd4_share").alias("f_pt_cd4_share"), r("f_pt_cd4_cells").alias("f_pt_cd4_cells"), "f_cd4_profile")
 
 
+#: Made-up readings for keys of the registry: whole numbers from a start on, by a factor and a modulus of the order's key.
+_READINGS = {
+    "pt_viable_cells": (7, 900, 100), "pt_cd3_pct": (11, 90, 5), "pt_cd4_pct": (13, 80, 10), "pt_cd8_pct": (17, 70, 10), "pw_cd3_pct": (19, 90, 5), "pw_cd4_pct": (23, 80, 10), "pw_cd8_pct": (29, 70, 10),
+    "vessel_count": (1, 3, 1), "vsvg_cells": (31, 1000, 1000), "cpdl": (37, 7, 1), "medium_unused": (1, 2, 0),
+    **{f"d{d}_{w}_{x}": (41 + 2 * d + k, 20, 2) for d in (6, 8) for w in ("lactate", "glucose") for k, x in enumerate("ab")}, "harvest_lactate": (43, 20, 2), "harvest_glucose": (47, 20, 2),
+    "d3_viability": (53, 30, 70), "pw_viability": (59, 30, 70), "harvest_viability": (61, 30, 70), "washed_viability": (67, 30, 70), "cells_available": (71, 500, 500), "cells_seeded_a": (73, 200, 50), "cells_seeded_b": (79, 200, 50), "culture_bags": (83, 4, 1),
+    "vector_volume_a": (89, 50, 5), "vector_volume_b": (97, 50, 5), "coa_titer": (101, 40, 10), "coa_pi_ratio": (103, 9, 1), "contact_time": (107, 100, 80), "contact_time_a": (109, 100, 80), "contact_time_b": (113, 100, 80),
+    "clumps_pre_count": (127, 30, 1), "clumps_post_count": (131, 30, 1), "clumps_pre_size": (137, 9, 1), "clumps_post_size": (139, 9, 1), "clumps_mix_count": (149, 30, 1), "clumps_mix_size": (151, 9, 1), "mixing_cycles": (157, 12, 1),
+    "dose_per_kg": (163, 900000, 1000), "dose_cells": (167, 90000, 1000), "formulated_concentration": (173, 9000, 500), "bag_volume": (179, 60, 10), "harvest_car_pct": (181, 70, 10), "subject_weight": (191, 70, 40), "washed_cells": (193, 9000, 100), "fp_car_pct": (197, 70, 10), "vcn": (199, 5, 1),
+    "formulated_viability": (211, 30, 70), "washed_concentration": (223, 900, 50), "formulation_cell_volume": (227, 40, 5), "formulation_medium_volume": (229, 40, 5), "harvest_cells": (233, 9000, 100),
+    **{f"coa_impurity_{k}": (239 + 2 * k, 50, 1) for k in range(1, 6)}, "il2_activity_d6": (257, 30, 1), "il2_content_d6": (263, 30, 1), "il2_activity_d8": (269, 30, 1), "il2_content_d8": (271, 30, 1),
+}
+_CASE = "CASE WHEN vessel_count = 1 THEN {0} WHEN vessel_count = 2 THEN {0} + {1} END * 1e9 / vsvg_cells"
+_SETTINGS = derive.Settings(moi_target=2.0, medium_glucose=25.0, medium_lactate=1.0, impurity_spec_limits=(10.0, 20.0, 30.0, 40.0, 50.0))
+#: What the registry says, as SQL over the readings.
+_FORMULAS = {
+    "f_log_pt_cd4_cd8": "log10(pt_cd4_pct / pt_cd8_pct)", "f_log_pw_cd4_cd8": "log10(pw_cd4_pct / pw_cd8_pct)", "f_cd4_cd8_shift": "log10(pt_cd4_pct / pt_cd8_pct) - log10(pw_cd4_pct / pw_cd8_pct)",
+    "f_pt_cd3_cells": "pt_viable_cells * pt_cd3_pct / 100", "f_pt_cd4_share": "pt_cd4_pct * pt_cd3_pct / 100", "f_pt_cd4_cells": "pt_cd4_pct * pt_cd3_pct * pt_viable_cells / 10000", "f_pw_cd4_share": "pw_cd4_pct * pw_cd3_pct / 100", "f_pw_cd8_share": "pw_cd8_pct * pw_cd3_pct / 100",
+    **{f"f_{w}_per_cell_d{d}": _CASE.format(f"d{d}_{w}_a", f"d{d}_{w}_b") for d in (6, 8) for w in ("lactate", "glucose")}, **{f"f_{w}_per_cell_d10": f"harvest_{w} * 1e9 * vessel_count / vsvg_cells" for w in ("lactate", "glucose")},
+    "f_lactate_yield_d6": "((d6_lactate_a + d6_lactate_b) / 2 - 1) / CASE WHEN 25 - (d6_glucose_a + d6_glucose_b) / 2 > 0 THEN 25 - (d6_glucose_a + d6_glucose_b) / 2 END", "f_lactate_yield_d10": "(harvest_lactate - 1) / CASE WHEN 25 - harvest_glucose > 0 THEN 25 - harvest_glucose END",
+    "f_viability_drop_pts": "d3_viability - pw_viability", "f_viability_d3_d10_rel": "(1 - harvest_viability / d3_viability) * 100", "f_viability_d3_d10_pts": "washed_viability - d3_viability", "f_viability_wash": "(washed_viability / harvest_viability - 1) * 100",
+    "f_seeding_pct": "vsvg_cells / (vessel_count * 5e7) * 100", "f_seeding_error": "abs(vsvg_cells / (vessel_count * 5e7) * 100 - 100)", "f_seeding_within": "CAST(abs(vsvg_cells / (vessel_count * 5e7) * 100 - 100) <= 5 AS DOUBLE)", "f_seeding_loss": "1 - (cells_seeded_a + cells_seeded_b) / cells_available", "f_dead_cells_d3": "cells_available * (100 - d3_viability) / d3_viability", "f_cells_per_bag": "cells_available / culture_bags",
+    "f_seeded_mean": "(cells_seeded_a + cells_seeded_b) / 2", "f_seeded_imbalance": "abs(cells_seeded_a - cells_seeded_b) / (cells_seeded_a + cells_seeded_b)", "f_vector_volume_mean": "(vector_volume_a + vector_volume_b) / 2", "f_vector_volume_imbalance": "abs(vector_volume_a - vector_volume_b) / (vector_volume_a + vector_volume_b)",
+    "f_moi_a": "coa_titer * vector_volume_a / cells_seeded_a", "f_moi_b": "coa_titer * vector_volume_b / cells_seeded_b", "f_log_moi_a": "ln(1 + coa_titer * vector_volume_a / cells_seeded_a)", "f_log_moi_b": "ln(1 + coa_titer * vector_volume_b / cells_seeded_b)",
+    "f_moi_pool": "coa_titer * (vector_volume_a + vector_volume_b) / cells_available", "f_log_moi_pool": "ln(1 + coa_titer * (vector_volume_a + vector_volume_b) / cells_available)", "f_moi_quality": "coa_titer * (vector_volume_a + vector_volume_b) / cells_available * coa_pi_ratio", "f_moi_vs_target": "coa_titer * (vector_volume_a + vector_volume_b) / cells_available / 2", "f_moi_per_cd3": "coa_titer * (vector_volume_a + vector_volume_b) / (pt_viable_cells * pt_cd3_pct / 100)",
+    **{f"f_contact_deviation{x}": f"abs(contact_time{x} - 120)" for x in ("", "_a", "_b")}, **{f"f_contact_within{x}": f"CAST(contact_time{x} BETWEEN 90 AND 150 AS DOUBLE)" for x in ("", "_a", "_b")},
+    **{f"f_clump_{x}_reduction": f"1 - clumps_post_{x} / clumps_pre_{x}" for x in ("count", "size")}, **{f"f_clump_burden_{x}": f"clumps_{x}_count * clumps_{x}_size" for x in ("pre", "post", "mix")}, "f_mixing_x_clumps": "mixing_cycles * clumps_pre_count",
+    "f_dose_all": "dose_per_kg / 1e6", "f_post_formulation_dose": "formulated_concentration / 1e6 * bag_volume * harvest_car_pct / 100 / subject_weight", "f_achievable_dose": "harvest_car_pct / 100 * washed_cells / (subject_weight * 1e6)", "f_car_cells": "harvest_car_pct * washed_cells / 100", "f_car_yield": "harvest_car_pct / 100 * pow(2, cpdl)", "f_vcn_per_cell": "fp_car_pct * vcn / 100", "f_flow_accuracy": "fp_car_pct / harvest_car_pct",
+    "f_formulated_total_concentration": "formulated_concentration / 10000 / formulated_viability", "f_cells_into_formulation": "washed_concentration * formulation_cell_volume", "f_cells_out_of_formulation": "formulated_concentration * formulation_medium_volume", "f_cells_lost_formulation": "washed_concentration * formulation_cell_volume - formulated_concentration * formulation_medium_volume", "f_pct_lost_formulation": "(washed_concentration * formulation_cell_volume - formulated_concentration * formulation_medium_volume) * 100 / (washed_concentration * formulation_cell_volume)", "f_cells_lost_wash": "harvest_cells - washed_cells", "f_wash_recovery": "washed_cells / harvest_cells",
+    "f_coa_impurity_spec_index": " + ".join(f"coa_impurity_{k} / {10 * k}" for k in range(1, 6)), "f_il2_d6": "il2_activity_d6 * il2_content_d6 / 1000", "f_il2_d8": "il2_activity_d8 * il2_content_d8 / 1000",
+}
+#: Digits where five would leave ties.
+_DIGITS = {"f_post_formulation_dose": 12, "f_achievable_dose": 12, "f_dose_all": 6, "f_seeding_pct": 6, "f_seeding_error": 6, "f_formulated_total_concentration": 12}
+_READ = ", ".join(f"CAST((o_orderkey * {f}) % {m} + {start} AS DOUBLE) AS {key}" for key, (f, m, start) in _READINGS.items())
+
+
+@query(f"WITH t AS (SELECT o_orderkey, {_READ} FROM orders) SELECT o_orderkey, " + ", ".join(f"round({x}, {_DIGITS.get(key, 5)}) + 0 AS {key}" for key, x in _FORMULAS.items()) + " FROM t")
+def derived_registry_wide(spark, sf):
+    """Most of the registry's numbers, of several levels, by their keys' own names."""
+    df = table(spark, sf, "orders").selectExpr("o_orderkey", *_READ.split(", "))
+    out, _ = derive.apply(df, derive.registry(_SETTINGS, df.columns), _SETTINGS, Vocabulary(), list(_FORMULAS))
+    return out.select("o_orderkey", *(r(key, _DIGITS.get(key, 5)).alias(key) for key in _FORMULAS))
+
+
 # --- sites ---------------------------------------------------------------------------------------------------------
 
 
@@ -277,25 +321,14 @@ def never_recorded(spark, sf):
     return merge.never_recorded(df, df.columns)[0]
 
 
-@query("""
-SELECT 'p_type' AS "column", p_type AS value, 'A' AS only_at, 'B' AS not_at FROM (SELECT DISTINCT p_type FROM part WHERE p_size % 2 = 0 EXCEPT SELECT DISTINCT p_type FROM part WHERE p_partkey < 3)
-UNION ALL SELECT 'p_type', p_type, 'B', 'A' FROM (SELECT DISTINCT p_type FROM part WHERE p_partkey < 3 EXCEPT SELECT DISTINCT p_type FROM part WHERE p_size % 2 = 0)
-""")
-def category_diff(spark, sf):
-    """Of the two sites that its SQL names; category_diff_whole has sites that share out all parts."""
-    part = table(spark, sf, "part")
-    rows = clean.category_differences({"A": part.where("p_size % 2 = 0"), "B": part.where("p_partkey < 3")}, ["p_type"])
-    return spark.createDataFrame([tuple(x.values()) for x in rows], "column string, value string, only_at string, not_at string")
-
-
 @query("""
 SELECT 'p_name' AS "column", p_name AS value, 'A' AS only_at, 'B' AS not_at FROM (SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 0 EXCEPT SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 1)
 UNION ALL SELECT 'p_name', p_name, 'B', 'A' FROM (SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 1 EXCEPT SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 0)
 """)
-def category_diff_whole(spark, sf):
+def category_diff(spark, sf):
+    """Of two sites that share out all parts."""
     part = table(spark, sf, "part")
-    rows = clean.category_differences({"A": part.where("p_size % 2 = 0"), "B": part.where("p_size % 2 = 1")}, ["p_name"])
-    return spark.createDataFrame([tuple(x.values()) for x in rows], "column string, value string, only_at string, not_at string")
+    return clean.category_differences({"A": part.where("p_size % 2 = 0"), "B": part.where("p_size % 2 = 1")}, ["p_name", "p_type"]).where(E.c("column") == "p_name")
 
 
 @query("SELECT column_name AS parameter, CAST(present AS BIGINT) AS present, round(100.0 * (n - present) / n, 4) AS missing_pct, CAST(distinct_values AS BIGINT) AS distinct_values FROM (SELECT count(*) AS n, count(nullif(l_tax, 0)) AS present, count(DISTINCT nullif(l_tax, 0)) AS distinct_values, 'tax' AS column_name FROM lineitem UNION ALL SELECT count(*), count(nullif(l_discount, 0)), count(DISTINCT nullif(l_discount, 0)), 'discount' FROM lineitem)")
@@ -399,12 +432,49 @@ def ordinal_encode(spark, sf):
 
 
 @query("""
-WITH d AS (SELECT o_orderkey, md5('o_orderpriority' || chr(0) || o_orderpriority) AS h FROM orders)
-SELECT o_orderkey, CAST(('0x' || substr(h, 1, 16))::UBIGINT % 8 AS INT) AS bucket, CASE WHEN ('0x' || substr(h, 17, 2))::INT % 2 = 0 THEN 1 ELSE -1 END AS sign FROM d
-""")
+WITH d AS (SELECT o_orderkey, md5('o_orderpriority' || chr(0) || o_orderpriority) AS h FROM orders), e AS (SELECT o_orderkey, CAST(('0x' || substr(h, 1, 16))::UBIGINT % 8 AS INT) AS bucket, CASE WHEN ('0x' || substr(h, 17, 2))::INT % 2 = 0 THEN 1 ELSE -1 END AS sign FROM d)
+SELECT o_orderkey, """ + ", ".join(f"CASE WHEN bucket = {k} THEN sign ELSE 0 END AS o_orderpriority_hash_{k}" for k in range(8)) + " FROM e")
 def hash_encode(spark, sf):
-    bucket, sign = E.bucket_and_sign("o_orderpriority", "o_orderpriority", 8)
-    return table(spark, sf, "orders").select("o_orderkey", bucket.alias("bucket"), sign.alias("sign"))
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    state = encode.fit_hashed(df, "o_orderpriority", set())
+    return df.select("o_orderkey", *(x.alias(n) for n, x in encode.applied(state).items()))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN '(missing)' ELSE p_brand END AS label FROM part
+""")
+def label_view(spark, sf):
+    """Categories as encoders see them, an empty cell being one."""
+    cell = F.when(F.col("p_partkey") % 5 == 0, "  ").otherwise(F.concat(F.lit(" "), "p_brand", F.lit("\t")))
+    return table(spark, sf, "part").select("p_partkey", encode.labels(cell, encode.Knobs(missing_is_category=True)).alias("label"))
+
+
+@query("""
+SELECT o_orderkey, least(4, (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) * 5 // count(*) OVER ()) AS fold FROM orders
+""")
+def chronological_folds(spark, sf):
+    df = encode.folds(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), 5, order="o_orderdate", id_column="o_orderkey")
+    return df.select("o_orderkey", F.col("_fold").alias("fold"))
+
+
+@query("""
+WITH g AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey), t AS (SELECT count(*) AS rows FROM orders)
+SELECT 'one fold a group' AS what, count(*) AS n FROM g UNION ALL SELECT 'rows', rows FROM t UNION ALL SELECT 'folds within one group of even', 5 FROM t
+""")
+def grouped_folds(spark, sf):
+    df = encode.folds(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), 5, groups="o_custkey")
+    largest = df.groupBy("o_custkey").count().agg(F.max("count").alias("most"))
+    whole = df.groupBy("o_custkey").agg(F.count_distinct("_fold").alias("k")).agg(F.count_if(F.col("k") == 1).alias("n")).select(F.lit("one fold a group").alias("what"), "n")
+    even = df.groupBy("_fold").count().join(F.broadcast(largest)).join(F.broadcast(df.agg((F.count(F.lit(1)) / 5).alias("share")))).agg(F.count_if(F.abs(F.col("count") - F.col("share")) <= 2 * F.col("most")).alias("n")).select(F.lit("folds within one group of even").alias("what"), "n")
+    return whole.union(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("what"), "n")).union(even)
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS parameter, CASE WHEN p_partkey % 2 = 0 THEN 'even; size ' || p_size % 3 ELSE 'size ' || p_size % 3 END AS groups FROM part")
+def groups_of_parameters(spark, sf):
+    """Groups that each parameter belongs to, joined."""
+    part = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("parameter"), "p_partkey", "p_size")
+    members = part.select("parameter", F.concat(F.lit("size "), (F.col("p_size") % 3).cast("string")).alias("group")).union(part.where("p_partkey % 2 = 0").select("parameter", F.lit("even")))
+    return enrich.groups_of(members.union(members))
 
 
 @query("""SELECT c AS parameter, CASE WHEN k <= 1 THEN 'skip' WHEN k = 2 THEN 'binary' WHEN k / n > 0.5 THEN 'skip' WHEN k <= 15 THEN 'one_hot' WHEN k <= 50 THEN 'target' ELSE 'hash' END AS encoder FROM (
@@ -418,15 +488,22 @@ def encoder_routing(spark, sf):
 
 
 @query("""
-WITH o AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS i, event_id % 7 < 2 AS a, event_type = 'click' AS b FROM events),
-u AS (SELECT 'a' AS "column", i, a AS g FROM o UNION ALL SELECT 'b', i, b FROM o),
-l AS (SELECT *, lag(g) OVER (PARTITION BY "column" ORDER BY i) AS before FROM u),
-s AS (SELECT "column", count(*) AS n, count(*) FILTER (g) AS missing, count(*) FILTER (g AND NOT coalesce(before, false)) AS runs FROM l GROUP BY "column")
-SELECT "column", n, missing, runs, round((runs - missing::DOUBLE * (n - missing + 1) / n) / sqrt(missing::DOUBLE * (missing - 1) * (n - missing) * (n - missing + 1) / (n::DOUBLE * n * (n - 1))), 4) + 0 AS z FROM s
+WITH o AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS i, event_id % 7 < 2 AS a, event_type = 'click' AS b, ts < (SELECT min(ts) + (max(ts) - min(ts)) / 3 FROM events) AS c FROM events),
+u AS (SELECT 'a' AS "column", i, a AS g FROM o UNION ALL SELECT 'b', i, b FROM o UNION ALL SELECT 'c', i, c FROM o),
+l AS (SELECT *, lag(g) OVER (PARTITION BY "column" ORDER BY i) AS before, count(*) OVER (PARTITION BY "column") AS n FROM u),
+m AS (SELECT *, sum((g AND NOT coalesce(before, false))::INT) OVER (PARTITION BY "column" ORDER BY i) AS run FROM l),
+e AS (SELECT "column", run, count(*) AS length FROM m WHERE g GROUP BY "column", run), x AS (SELECT "column", max(length) AS longest FROM e GROUP BY "column"),
+s AS (SELECT "column", any_value(n) AS n, count(*) FILTER (g) AS missing, count(*) FILTER (g AND NOT coalesce(before, false)) AS runs, min(i) FILTER (NOT g) - 1 AS "leading", any_value(n) - max(i) FILTER (NOT g) AS "trailing",
+ count(*) FILTER (g AND before)::DOUBLE / count(*) FILTER (g AND i < n) AS repeat_share, count(*) FILTER (g AND i > n - 10) AS missing_last_10 FROM l GROUP BY "column"),
+z AS (SELECT *, (runs - missing::DOUBLE * (n - missing + 1) / n) / sqrt(missing::DOUBLE * (missing - 1) * (n - missing) * (n - missing + 1) / (n::DOUBLE * n * (n - 1))) AS z FROM s JOIN x USING ("column"))
+SELECT "column", n, missing, runs, "leading", "trailing", longest, round(z, 4) + 0 AS z, round(repeat_share, 6) AS repeat_share, missing_last_10,
+ CASE WHEN z > 2.576 THEN 'Regular skipping' WHEN z >= -2.576 THEN 'Random gaps' WHEN "leading" >= missing * 0.8 THEN 'Late start' WHEN "trailing" >= missing * 0.8 THEN 'Stopped' WHEN "leading" + "trailing" >= missing * 0.8 THEN 'Late start and stopped' WHEN longest >= missing * 0.8 THEN 'One long gap' ELSE 'Clumped' END AS pattern FROM z
 """)
 def missing_profile_runs_test(spark, sf):
-    df = table(spark, sf, "events").select("event_id", "ts", F.when(F.col("event_id") % 7 >= 2, 1).alias("a"), F.when(F.col("event_type") != "click", 1).alias("b"))
-    return missingness.profiles(df, ["a", "b"], "ts", "event_id").select("column", "n", "missing", "runs", r("z", 4).alias("z"))
+    events = table(spark, sf, "events")
+    third = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).select((F.col("low") + (F.col("high") - F.col("low")) / 3).alias("third"))
+    df = events.join(F.broadcast(third)).select("event_id", "ts", F.when(F.col("event_id") % 7 >= 2, 1).alias("a"), F.when(F.col("event_type") != "click", 1).alias("b"), F.when(F.col("ts") >= F.col("third"), 1).alias("c"))
+    return missingness.profiles(df, ["a", "b", "c"], "ts", "event_id").select("column", "n", "missing", "runs", "leading", "trailing", "longest", r("z", 4).alias("z"), r("repeat_share").alias("repeat_share"), "missing_last_10", "pattern")
 
 
 @query("""SELECT a, b, round(x, 6) AS similarity FROM (
@@ -462,44 +539,38 @@ def pearson_pairs(spark, sf):
     return spark.createDataFrame([(a, b, int(p.n[_NUMBERS.index(a), _NUMBERS.index(b)]), round(p.of(a, b), 6) + 0.0) for a, b in _PAIRS], "a string, b string, n long, r double")
 
 
-@query(" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr(x, y), 6) + 0 AS rho FROM (SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS x, rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS y FROM lineitem)" for a, b in _PAIRS[:3]))
+@query(" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr(x, y), 6) + 0 AS rho FROM (SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS x, rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS y FROM lineitem)" for a, b in _PAIRS))
 def spearman_pairs(spark, sf):
     df = table(spark, sf, "lineitem").select(*_NUMBERS)
-    p = similarity.spearman(df, _NUMBERS, cells_on_driver=1000)
-    return spark.createDataFrame([(a, b, round(p.of(a, b), 6) + 0.0) for a, b in _PAIRS[:3]], "a string, b string, rho double")
-
-
-def _adjusted(part):
-    p = part.select("p_partkey", ((F.col("p_partkey") % 97 + 1) / 100).alias("p"))
-    return correlation.adjusted(p, "p", "q").select("p_partkey", r("q").alias("q"))
+    p = similarity.spearman(df, _NUMBERS, cells_in_task=1000)
+    return spark.createDataFrame([(a, b, round(p.of(a, b), 6) + 0.0) for a, b in _PAIRS], "a string, b string, rho double")
 
 
 @query("""
-WITH p AS (SELECT p_partkey, (p_partkey % 97 + 1) / 100.0 AS p FROM part WHERE p_partkey < 500), k AS (SELECT *, row_number() OVER (ORDER BY p DESC, p_partkey) AS d, count(*) OVER () AS m FROM p)
+WITH p AS (SELECT p_partkey, (p_partkey % 97 + 1) / 100.0 AS p FROM part), k AS (SELECT *, row_number() OVER (ORDER BY p DESC, p_partkey) AS d, count(*) OVER () AS m FROM p)
 SELECT p_partkey, round(least(1.0, min(p * m / (m - d + 1)) OVER (ORDER BY d)), 6) AS q FROM k
 """)
 def bh_adjust(spark, sf):
-    """Of the parts that its SQL names; bh_adjust_whole has all of them."""
-    return _adjusted(table(spark, sf, "part").where("p_partkey < 500"))
+    p = table(spark, sf, "part").select("p_partkey", ((F.col("p_partkey") % 97 + 1) / 100).alias("p"))
+    return correlation.adjusted(p, "p", "q").select("p_partkey", r("q").alias("q"))
 
 
 @query("""
-WITH p AS (SELECT p_partkey, (p_partkey % 97 + 1) / 100.0 AS p FROM part), k AS (SELECT *, row_number() OVER (ORDER BY p DESC, p_partkey) AS d, count(*) OVER () AS m FROM p)
-SELECT p_partkey, round(least(1.0, min(p * m / (m - d + 1)) OVER (ORDER BY d)), 6) AS q FROM k
+WITH x AS (SELECT unnest(['flat', 'l_quantity', 'l_tax', 'jitter']) AS parameter, unnest([1.5, l_quantity, l_tax, 1000 + l_tax / 10]) AS v FROM lineitem)
+SELECT parameter FROM x GROUP BY parameter HAVING count(DISTINCT round(v, 9)) < 2 OR stddev_samp(v) <= 1e-4 * avg(abs(v))
 """)
-def bh_adjust_whole(spark, sf):
-    return _adjusted(table(spark, sf, "part"))
-
-
-@query("SELECT 'flat' AS parameter")
 def near_constant(spark, sf):
-    df = table(spark, sf, "lineitem").select("l_quantity", "l_tax", F.lit(1.5).alias("flat"))
+    df = table(spark, sf, "lineitem").select("l_quantity", "l_tax", F.lit(1.5).alias("flat"), (1000 + F.col("l_tax") / 10).alias("jitter"))
     return spark.createDataFrame([(c,) for c in encode.near_constant(df, df.columns)], "parameter string")
 
 
-@query("SELECT 'twice' AS dropped, 'quantity' AS kept")
+@query("""
+WITH x AS (SELECT l_quantity AS quantity, l_quantity * 2 + 1 AS twice, l_tax AS tax, l_extendedprice AS price, l_extendedprice + l_tax AS total FROM lineitem)
+SELECT 'twice' AS dropped, 'quantity' AS kept FROM x HAVING corr(quantity, twice) ^ 2 >= 0.99 UNION ALL SELECT 'total', 'price' FROM x HAVING corr(price, total) ^ 2 >= 0.99
+UNION ALL SELECT 'tax', 'quantity' FROM x HAVING corr(quantity, tax) ^ 2 >= 0.99 UNION ALL SELECT 'quantity', 'price' FROM x HAVING corr(quantity, price) ^ 2 >= 0.99
+""")
 def duplicate_pairs(spark, sf):
-    df = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("quantity"), (F.col("l_quantity") * 2 + 1).alias("twice"), F.col("l_tax").alias("tax"))
+    df = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("quantity"), (F.col("l_quantity") * 2 + 1).alias("twice"), F.col("l_tax").alias("tax"), F.col("l_extendedprice").alias("price"), (F.col("l_extendedprice") + F.col("l_tax")).alias("total"))
     d = decorrelate.duplicates(similarity.pearson(df, df.columns))
     return spark.createDataFrame(list(d.items()), "dropped string, kept string")
 
@@ -527,15 +598,15 @@ def median_impute(spark, sf):
     from .plans import recipe
 
     df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.nullif("l_tax", F.lit(0.0)).alias("tax"), F.col("l_quantity").alias(cohort.TARGET))
-    fitted = recipe.fit(df, ["tax"], recipe.Options(action="off", indicators=True))
+    fitted = recipe.fit(df, ["tax"], recipe.Options(action="off", indicators=True, impute=True))
     return recipe.Recipe.loads(fitted.dumps()).transform(df, ["l_orderkey", "l_linenumber"])
 
 
 # --- over time -----------------------------------------------------------------------------------------------------
 
 _DAYS = "SELECT DISTINCT user_id % 6 AS s, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d, (datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 4) * 10 + user_id % 2 AS v FROM events"
-_GROUPS = """
-WITH p AS ({days}), days AS (SELECT s, d, lag(d) OVER (PARTITION BY s ORDER BY d) AS before FROM (SELECT DISTINCT s, d FROM p)),
+_GROUPS = f"""
+WITH p AS ({_DAYS}), days AS (SELECT s, d, lag(d) OVER (PARTITION BY s ORDER BY d) AS before FROM (SELECT DISTINCT s, d FROM p)),
 h AS (SELECT s, v, d, lag(d) OVER (PARTITION BY s, v ORDER BY d) AS held FROM p),
 c AS (SELECT s, count(DISTINCT d) AS n FROM h JOIN days USING (s, d) WHERE held = before GROUP BY s)
 SELECT s, count(*) - coalesce(any_value(n), 0) AS groups FROM p LEFT JOIN c USING (s) GROUP BY s
@@ -547,24 +618,35 @@ def _daily(events):
     return events.select((F.col("user_id") % 6).alias("s"), day.alias("d"), (F.floor(day / 4) * 10 + F.col("user_id") % 2).alias("v"))
 
 
-@query(_GROUPS.format(days=f"{_DAYS} WHERE user_id % 5 = 0"))
+@query(_GROUPS)
 def shift_counts(spark, sf):
-    """Of the users that its SQL names; shift_counts_whole has all of them."""
-    return shifts.group_count(_daily(table(spark, sf, "events").where("user_id % 5 = 0")), ["s"], "d", "v")
+    return shifts.group_count(_daily(table(spark, sf, "events")), ["s"], "d", "v")
 
 
-@query(_GROUPS.format(days=_DAYS))
-def shift_counts_whole(spark, sf):
-    return shifts.group_count(_daily(table(spark, sf, "events")), ["s"], "d", "v")
+#: Lots of four days, of which one is on each day: a lot's segment is the days on which it is the day's lot.
+_LOTS = """
+WITH p AS (SELECT DISTINCT user_id % 6 AS s, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d FROM events), l AS (SELECT s, d, CAST((d // 4) % 3 AS VARCHAR) AS v FROM p),
+b AS (SELECT *, v IS DISTINCT FROM lag(v) OVER (PARTITION BY s ORDER BY d) AS starts FROM l), r AS (SELECT *, sum(starts::INT) OVER (PARTITION BY s ORDER BY d) AS run FROM b)
+SELECT CAST(s AS VARCHAR) AS key, CAST(min(d) AS BIGINT) AS first, CAST(max(d) AS BIGINT) AS last, any_value(v) AS value FROM r GROUP BY s, run
+"""
+
+
+@query(_LOTS)
+def shift_lots(spark, sf):
+    """Segments of a series with one value a day, where SQL can tell them."""
+    days = _daily(table(spark, sf, "events")).select("s", "d", (F.floor(F.col("d") / 4) % 3).alias("v"))
+    return shifts.segment_rows(days, "s", "d", "v")
 
 
 @query()
 def shift_segments(spark, sf):
+    """Several values a day, which carry on by rule: tests hold it against plain Python."""
     return shifts.segment_rows(_daily(table(spark, sf, "events")), "s", "d", "v")
 
 
 @query()
 def shift_tests(spark, sf):
+    """Permutation tests; tests hold them against plain Python."""
     df = table(spark, sf, "events").select("ts", (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 5).cast("int").alias("lot"), F.col("event_type").alias("kind"), (F.col("user_id") % 2).alias("plant"))
     return shifts.tested(df, ["lot", "kind"], "ts", "plant").select("plant", "column", "values", "days", "groups", F.round("p", 6).alias("p"), "kept")
 
@@ -599,14 +681,20 @@ def frame_digest(spark, sf):
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_size < 10 THEN 'a' ELSE 'a+b' END AS unit FROM part WHERE p_size < 0 UNION ALL
-SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 THEN 'g3' ELSE 'g0+g1+g2' END FROM part
+WITH RECURSIVE n AS (SELECT DISTINCT p_partkey % 40 AS k, CASE WHEN (p_partkey % 40) % 10 = 9 THEN NULL ELSE p_partkey % 40 + 1 END AS next FROM part),
+r(k, reached) AS (SELECT k, k FROM n UNION SELECT r.k, n.next FROM r JOIN n ON r.reached = n.k WHERE n.next IS NOT NULL),
+u AS (SELECT k, max(reached) AS root FROM r GROUP BY k),
+l AS (SELECT root, string_agg('g' || lpad(CAST(k AS VARCHAR), 2, '0'), '+' ORDER BY k) AS unit FROM u GROUP BY root)
+SELECT p_partkey, unit FROM part JOIN u ON p_partkey % 40 = k JOIN l USING (root)
 """)
 def grouping_units(spark, sf):
-    """Rows of linked groups and patients share a unit."""
-    k = F.col("p_partkey") % 4
-    df = table(spark, sf, "part").select("p_partkey", F.concat(F.lit("g"), k.cast("string")).alias("g"), F.when(k == 3, F.lit("p3")).when(k == 0, F.lit("p0")).when(k == 1, F.when(F.col("p_partkey") % 8 == 1, "p0").otherwise("p1")).otherwise(F.lit("p1")).alias("p"))
-    return cohort.grouping_units(df, "g", "p").select("p_partkey", F.col("_unit").alias("unit"))
+    """Groups in four chains of ten, each linked to the next by a patient that both have."""
+    k = F.col("p_partkey") % 40
+    group = F.concat(F.lit("g"), F.lpad(k.cast("string"), 2, "0"))
+    part = table(spark, sf, "part").select("p_partkey", group.alias("g"), F.floor(F.col("p_partkey") / 40).alias("turn"), k.alias("k"))
+    # Rows of a group have its own patient and that of the group before it, in turns; the first of a chain has none before.
+    own = F.concat(F.lit("p"), F.when((F.col("turn") % 2 == 0) | (F.col("k") % 10 == 0), F.col("k")).otherwise(F.col("k") - 1).cast("string"))
+    return cohort.grouping_units(part.withColumn("p", own), "g", "p").select("p_partkey", F.col("_unit").alias("unit"))
 
 
 @query("SELECT 'MAX' AS what, round(max(greatest(l_quantity, l_linenumber * 10)), 4) AS value FROM lineitem UNION ALL SELECT 'DIFF', round(sum(greatest(l_quantity, l_linenumber * 10) - least(l_quantity, l_linenumber * 10)), 4) FROM lineitem UNION ALL SELECT 'dose', round(sum(l_quantity * l_tax), 4) FROM lineitem")

@@ -219,7 +219,7 @@ def test_spearman_on_spark_equals_driver(spark):
     x = np.round(rng.normal(size=(200, 4)), 1)
     x[rng.random(x.shape) < 0.1] = np.nan
     df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], "a double, b double, c double, d double")
-    here, there = similarity.spearman(df, df.columns), similarity.spearman(df, df.columns, cells_on_driver=0)
+    here, there = similarity.spearman(df, df.columns), similarity.spearman(df, df.columns, cells_in_task=0)
     assert np.allclose(here.r, there.r, atol=1e-12) and (here.n == there.n).all()
 
 
@@ -310,16 +310,70 @@ def test_queries_see_all_rows(spark, sf):
     from loomspark import queries
 
     part, events = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("part", "events"))
-    # More parts than the 499 that bh_adjust's SQL names.
-    assert queries.bh_adjust_whole(spark, "/root/testdata/sf0.01").count() == spark.read.parquet("/root/testdata/sf0.01/part.parquet").count() > 499
+    assert queries.bh_adjust(spark, sf).count() == part.count()
     assert queries.shift_tests(spark, sf).where("column = 'kind'").agg(F.sum("values")).first()[0] == events.where("ts is not null and event_type is not null").count()
     days = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
     bounds = {r[0]: (r[1], r[2]) for r in events.groupBy((F.col("user_id") % 6).cast("string")).agg(F.min(days), F.max(days)).collect()}
     assert {r[0]: (r[1], r[2]) for r in queries.shift_segments(spark, sf).groupBy("key").agg(F.min("first"), F.max("last")).collect()} == bounds
-    assert queries.shift_segments(spark, sf).count() == queries.shift_counts_whole(spark, sf).agg(F.sum("groups")).first()[0]
+    assert queries.shift_segments(spark, sf).count() == queries.shift_counts(spark, sf).agg(F.sum("groups")).first()[0]
     assert part.where("p_size % 2 = 0").count() + part.where("p_size % 2 = 1").count() == part.count()
 
 
+def _plain_segments(held: dict[int, set]) -> list[tuple]:
+    """(first, last, value), day by day: the carrier goes on if it can, else the least value that both days have."""
+    open_, carrier, out = {}, None, []
+    for day in sorted(held):
+        both = sorted(v for v in held[day] if v in open_)
+        goes_on = carrier if carrier in both else both[0] if both else None
+        out += [[day, day, v] for v in sorted(held[day]) if v != goes_on]
+        if goes_on is not None:
+            open_[goes_on][1] = day
+        open_ = {v: open_[v] if v == goes_on else next(s for s in reversed(out) if s[2] == v and s[0] == day) for v in held[day]}
+        carrier = goes_on if goes_on is not None else carrier if carrier in held[day] else None
+    return sorted(map(tuple, out))
+
+
+def test_shift_segments_equal_plain_python(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(s), int(d), f"v{v}") for s in range(8) for d in range(30) for v in rng.choice(5, rng.integers(0, 4))]
+    df = spark.createDataFrame(rows + rows[:9], "s int, d int, v string")
+    got = {}
+    for r in shifts.segment_rows(df, "s", "d", "v").collect():
+        got.setdefault(int(r["key"]), []).append((r["first"], r["last"], r["value"]))
+    for s in range(8):
+        held = {}
+        for _, d, v in (r for r in rows if r[0] == s):
+            held.setdefault(d, set()).add(v)
+        assert sorted(got[s]) == _plain_segments(held)
+
+
+def test_shift_tests_equal_plain_python(spark, sf):
+    import zlib
+
+    from loomspark import queries
+
+    def groups(pairs):
+        held = {}
+        for d, v in pairs:
+            held.setdefault(d, set()).add(v)
+        sets = [held[d] for d in sorted(held)]
+        return sum(map(len, sets)) - sum(bool(a & b) for a, b in zip(sets, sets[1:]))
+
+    events = spark.read.parquet(f"{sf}/events.parquet").selectExpr("cast(user_id % 2 as string) plant", "datediff(to_date(ts), date'1970-01-01') d", "cast(cast(datediff(to_date(ts), date'2024-01-01') / 5 as int) as string) lot", "event_type kind").collect()
+    for r in queries.shift_tests(spark, sf).collect():
+        pairs = sorted((e["d"], e[r["column"]]) for e in events if e["plant"] == r["plant"])
+        assert (r["values"], r["days"], r["groups"]) == (len(pairs), len({d for d, _ in pairs}), groups(pairs))
+        names = sorted({v for _, v in pairs})
+        code, rng, hits = np.array([names.index(v) for _, v in pairs]), np.random.default_rng(zlib.crc32(f"{r['plant']}\0{r['column']}".encode())), 0
+        if r["days"] / r["groups"] >= 2:
+            for _ in range(200):
+                hits += groups(zip((d for d, _ in pairs), rng.permutation(code).tolist())) <= r["groups"]
+            assert r["p"] == pytest.approx((1 + hits) / 201, abs=1e-6)
+        else:
+            assert r["p"] == 1.0
+        assert r["kept"] == (r["p"] <= 0.01)
+
+
 def test_adjusted_by_ranges_as_in_memory(spark):
     rng = np.random.default_rng(3)
     p = [*np.round(rng.random(3000) ** 2, 3).tolist(), math.nan, None]
@@ -336,3 +390,60 @@ def test_count_groups_of_many_rows():
         held = {d: set(code[day == d].tolist()) for d in sorted(set(day.tolist()))}
         sets = list(held.values())
         assert shifts.count_groups(day, code) == sum(map(len, sets)) - sum(bool(a & b) for a, b in zip(sets, sets[1:]))
+
+
+# --- beyond any bound ----------------------------------------------------------------------------------------------
+
+
+def test_category_differences_are_all_told(spark):
+    a = spark.range(3000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("k"), F.lit("x").alias("only"))
+    b = a.where("k <> 'v5'").where("length(k) < 5").select("k").union(spark.createDataFrame([("new",), (None,)], "k string"))
+    out = clean.category_differences({"A": a, "B": b}, ["k", "only"])
+    rows = values(out, "column", "value", "only_at", "not_at")
+    assert len(rows) == 2000 + 2 and ("k", "v5", "A", "B") in rows and ("k", "new", "B", "A") in rows
+    assert clean.category_differences({"A": a, "B": b}, ["only"]) is None
+
+
+def test_explainers_pool_their_tail_and_need_values(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, None).otherwise(1).alias("x"), F.when(F.col("id") % 3 == 0, None).otherwise(F.lit("a")).alias("twin"), F.when(F.col("id") % 10 < 8, "big").otherwise(F.concat(F.lit("s"), (F.col("id") % 25).cast("string"))).alias("tail"), F.when(F.col("id") % 5 == 0, "rare").alias("seldom"), F.when(F.col("id") % 3 == 0, "p").otherwise(F.when(F.col("id") % 2 == 0, "q")).alias("own"))
+    found = {r["column"]: r for r in missingness.explained(df, ["x"], ["twin", "tail", "seldom", "own"], missingness.Bounds(categories=(2, 50)))}
+    assert set(found) == {"tail", "own"}  # one value; too seldom there
+    assert found["own"]["self_correlated"] and not found["tail"]["self_correlated"] and found["own"]["category"] == "p"
+    many = spark.range(60_000).select(F.when(F.col("id") % 2 == 0, 1).alias("x"), F.when(F.col("id") < 10_000, "c0").otherwise((F.col("id") / 2).cast("int").cast("string")).alias("k"))
+    best = missingness.explained(many, ["x"], ["k"], missingness.Bounds(categories=(2, 40_000), rows_per_category=1))[0]
+    assert best["category"] == "other" and best["covers"] == pytest.approx(25_000 / 30_000)
+
+
+def test_phi():
+    assert stats.phi(10, 5, 5, 5) == 1.0 and stats.phi(10, 5, 5, 0) == -1.0 and stats.phi(10, 0, 5, 0) == 0.0
+
+
+def test_folds_of_many_groups_are_even(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") < 12_000, 0).otherwise((F.col("id") % 13_000) + 1).cast("string").alias("g"), "id")
+    rows = encode.folds(df, 5, groups="g").groupBy("_fold").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("g") == "0").cast("int")).alias("hot")).collect()
+    sizes = sorted(r["n"] for r in rows)
+    assert sizes[-1] == 12_000 and sum(sizes) == 40_000 and max(sizes[:4]) - min(sizes[:4]) < 40
+    assert encode.folds(df, 5, groups="g").groupBy("g").agg(F.count_distinct("_fold").alias("k")).where("k > 1").count() == 0
+
+
+def test_routing_by_the_declared_bounds(spark):
+    df = spark.range(96).select(F.concat(F.lit("c"), (F.col("id") % 24).cast("string")).alias("four"), F.concat(F.lit("d"), (F.col("id") % 16).cast("string")).alias("six"), F.when(F.col("id") % 2 == 0, "done").otherwise("open").alias("state"))
+    assert {c: e for c, (e, _) in encode.route(df, df.columns).items()} == {"four": "one_hot", "six": "target", "state": "binary"}
+    assert encode.route(df, ["six"], encode.Knobs(target_encoding=False, one_hot=False))["six"][0] == "skip"
+    assert encode.route(df, ["four"], encode.Knobs(least_rows=50))["four"][0] == "hash"
+    assert encode.fit_binary(df, "state", set())["positive"] == "open"
+    signed, plain = (encode.fit_hashed(df, "six", set(), encode.Knobs(hashing_signed=k)) for k in (True, False))
+    low = lambda s: df.select(F.least(*encode.applied(s).values()).alias("x")).agg(F.min("x")).first()[0]
+    assert low(signed) == -1 and low(plain) == 0
+    with pytest.raises(ValueError, match="over 10 categories"):
+        encode.fit_target(df.withColumn("y", F.lit(1.0)), "four", "y", set(), encode.Knobs(most_means=10))
+
+
+def test_usable_representative():
+    g = correlation.RankGroup("C1", "a", [{"parameter": "a", "score": 0.9}, {"parameter": "b", "score": 0.8}], 0.9, 10)
+    assert [correlation.usable_representative(g, x) for x in ((), ("a",), ("a", "b"))] == ["= suggested", "b", ""]
+
+
+def test_groups_of_parameters(spark):
+    df = spark.createDataFrame([("p", "g2"), ("p", "g1"), ("q", "g1"), ("p", "g1")], "parameter string, group string")
+    assert sorted(values(enrich.groups_of(df), "parameter", "groups")) == [("p", "g1; g2"), ("q", "g1")]

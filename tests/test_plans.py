@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspark import cli
 from loomspark.operators import cohort, corrections, encode
-from loomspark.plans import build, config, dataset, leaks, manifest, provenance, recipe, report, spec
+from loomspark.plans import build, config, dataset, events, leaks, manifest, provenance, recipe, report, spec
 from loomspark.sources import readers, sinks
 from loomspark.streaming import apply as streaming
 
@@ -69,7 +69,7 @@ def test_recipe_round_trip_stage_and_stream(spark, tmp_path):
     fitted = recipe.fit(df, ["x", "c"], recipe.Options(action="off", indicators=True))
     again = recipe.Recipe.loads(fitted.dumps())
     want = sorted(fitted.transform(df, ["id"]).collect())
-    assert sorted(again.transform(df, ["id"]).collect()) == want and again.output == ["x", "c_a", "c_b", "c_c", "c_other", "x_missing"]
+    assert sorted(again.transform(df, ["id"]).collect()) == want and again.output == ["x", "c_a", "c_b", "c_c", "x_missing"]
     assert sorted(Pipeline(stages=[recipe.TaskTransformer(predictors=["x", "c"], options=recipe.Options(action="off", indicators=True), keep=["id"])]).fit(df).transform(df).collect()) == want
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     df.write.parquet(source)
@@ -86,6 +86,31 @@ def test_recipe_unknown_and_missing_categories(spark):
     assert [tuple(x) for x in r.transform(new).collect()] == [(0, 0, 1), (None, None, None)]
 
 
+def test_recipe_drops_thin_and_flat_outputs_and_names_proxies(spark):
+    rows = [(i, 2.0 * i, float(i * 7 % 5) if i < 19 else None, 3.0 + 1e-6 * (i % 2), float(i % 4)) for i in range(40)]
+    df = spark.createDataFrame([(float(i), *more) for i, *more in rows], f"{cohort.TARGET} double, near double, thin double, flat double, x double")
+    r = recipe.fit(df, ["near", "thin", "flat", "x"], recipe.Options(action="off"))
+    assert r.output == ["near", "x"] and {d["column"]: d["stage"] for d in r.dropped} == {"thin": "sparse", "flat": "constant"}
+    assert r.notes == ["near is nearly the target"] and r.medians == {}
+    with pytest.raises(ValueError, match="every predictor was dropped"):
+        recipe.fit(df, ["thin"], recipe.Options(action="off"))
+
+
+def test_events_of_a_run(tmp_path):
+    log = events.EventLog()
+    log.warn("a", "before")
+    mark = log.mark()
+    log.step("a", "go", "with detail")
+    for _ in range(2):
+        log.warn("a", "odd")
+    log.error("b", "bad")
+    said = log.since(mark)
+    assert events.told(said, "warning") == ["a: odd (2 times)"] and events.summary(said)["errors"] == 1
+    assert events.text(said).count("\n") == 5 and "before" not in events.text(said)
+    with pytest.raises(ValueError):
+        log.add("loud", "a", "b")
+
+
 def test_config_and_task_tell_all_faults():
     with pytest.raises(ValueError, match="unknown section x.*site.*output.*censored"):
         config.validated({"x": 1, "sites": {"A": "a"}, "cleaning": {"censored": "maybe"}})
@@ -125,7 +150,7 @@ def test_readers_and_sinks(spark, tmp_path):
 
 def test_small_parts(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.0), (2, None), (3, 4.0)], "i int, x double")
-    assert report.histogram(df, "x", 2)["counts"] == [1, 1] and report.missing_strings(df, ["x"], "i") == {"x": "010"}
+    assert report.histogram(df, "x", 2)["counts"] == [1, 1] and report.missing_strings(df, ["x"], "i") == {"x": "010"} and report.missing_strings(df, ["x"], "i", most=2) == {"x": "00"}
     assert provenance.capture(spark, [], {"a": 1})["environment"]["pyspark"]
     f = tmp_path / "a.txt"
     f.write_text("the Secret Name\nSecret Names")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomspark.operators import cohort, components, skew
+from loomspark.operators import cohort, components, enrich, skew
 
 
 @pytest.fixture
@@ -62,3 +62,21 @@ def test_a_long_chain_of_groups_is_one_unit(spark):
     of = {r["g"]: r["_unit"] for r in units}
     assert of["alone"] == "alone" and of[None] == "(missing)"
     assert {of[f"g{k:03d}"] for k in range(300)} == {"+".join(f"g{k:03d}" for k in range(300))}
+
+
+def test_rows_without_a_key_are_spread(spark):
+    """A look-up of which most rows have no key, on text and on whole numbers."""
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id") % 50).alias("k"))
+    facts = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(kept, ("-1", "false", "16")):
+        spark.conf.set(k, v)
+    try:
+        for left, right in ((rows, facts), (rows.withColumn("k", F.col("k").cast("string")), facts)):
+            out = enrich.lookup_join(left, right, "k")
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 4000 and max(sizes) < 1000
+            assert out.columns == ["id", "k", "x"] and out.where("x = 2 * cast(k as bigint)").count() == out.where("x is not null").count() == out.where("k < 40").count()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
