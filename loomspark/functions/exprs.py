@@ -32,12 +32,14 @@ _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 def strip(x: Operand) -> Column:
     """Trimmed of all Unicode white space, less no-break spaces within; nothing left is null."""
     text = F.regexp_replace(F.regexp_replace(_of(x).cast("string"), _EDGES, ""), "\u00a0", "")
-    return F.nullif(text, F.lit(""))
+    return F.when(text != "", text)
 
 
 def key_text(x: Operand) -> Column:
     """A join key: as text, trimmed, null where nothing is left."""
-    return F.nullif(F.regexp_replace(_of(x).cast("string"), _EDGES, ""), F.lit(""))
+    text = F.regexp_replace(_of(x).cast("string"), _EDGES, "")
+    # nullif() would be planned as a column of its own for each use; this is found to be the same wherever it is.
+    return F.when(text != "", text)
 
 
 def status(x: Operand, aliases: dict[str, str] | None = None) -> Column:

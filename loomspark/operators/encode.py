@@ -167,7 +167,8 @@ def applied(state: dict, knobs: Knobs = Knobs()) -> dict[str, Column]:
     if kind == "hash":
         bucket, sign = E.bucket_and_sign(state["column"], x, state["buckets"])
         cell = sign if state.get("signed", True) else F.lit(1)
-        return {n: F.when(x.isNotNull(), F.when(bucket == b, cell).otherwise(0)) for b, n in enumerate(out)}
+        # No branches: what all outputs share is then computed once. A missing category has no digest.
+        return {n: (bucket == b).cast("int") * cell for b, n in enumerate(out)}
     if kind == "ordinal":
         return {out[0]: F.nullif(F.array_position(F.array(*map(F.lit, state["order"])), x), F.lit(0)).cast("int")}
     raise ValueError(f"unknown encoder {kind!r}")
