@@ -55,7 +55,7 @@ _SECTIONS = ("news", "blog", "articles", "docs", "en", "category", "pages", "pos
 _LETTERS = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789"))
 
 
-def labelled_urls(per_label: int = 6000, seed: int = 7, known: Sequence[str] = KNOWN, ordinary: Sequence[str] = ORDINARY, unwanted: Sequence[str] = UNWANTED) -> list[tuple[str, int]]:
+def labelled_urls(per_label: int = 4000, seed: int = 7, known: Sequence[str] = KNOWN, ordinary: Sequence[str] = ORDINARY, unwanted: Sequence[str] = UNWANTED) -> list[tuple[str, int]]:
     """(url, label), as many of either label, the same for the same arguments."""
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
