@@ -35,7 +35,7 @@ AT_ONCE, CELLS_AT_ONCE = 2 << 20, 20_000
 TASK_BYTES, TASK_CELLS = 16 << 20, 100_000
 #: Open cells of one place that are sorted in one task, at some 2.5 KB each with the hashes of their prefixes; of larger
 #: places, windows are compared by their digests, spread over tasks.
-LARGE_GROUP = 20_000
+LARGE_GROUP = 4096
 #: Bytes of a digest that tells cells apart.
 DIGEST = 12
 
@@ -374,9 +374,13 @@ def shared_windows(anchors: np.ndarray, ords: np.ndarray, before: np.ndarray, co
     return out
 
 
+_CONTENTS = "kind int, row long, ord long, a long, before long, place long, content binary, h binary"
+
+
 def _cut_out(batches):
-    """The content of each open cell, as far as the windows reach that it may share."""
-    names = ["kind", "row", "ord", "a", "before", "place", "content"]
+    """The content of each open cell, as far as the windows reach that it may share; of a large place's cells instead a
+    row for each of these windows, with its digest (h)."""
+    names = [x.split()[0] for x in _CONTENTS.split(", ")]
     for batch in batches:
         out: list[tuple] = []
         for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("asked")):
@@ -384,9 +388,12 @@ def _cut_out(batches):
             for q in asked.as_py():
                 low, high = _OFFSETS[q["kind"]]
                 a, e = max(q["a"], q["p"] - high), min(q["e"], q["p"] - low + LENGTH)
-                out.append((q["kind"], row, q["ord"], a, q["p"] - a, q["place"], data[a:e]))
-        columns = list(zip(*out)) or [()] * 7
-        yield pa.RecordBatch.from_arrays([pa.array(list(columns[0]), pa.int32()), *(pa.array(list(c), pa.int64()) for c in columns[1:6]), pa.array(list(columns[6]), pa.binary())], names)
+                if q["large"]:
+                    out += [(q["kind"], row, q["ord"], w, 0, q["place"], None, hashlib.blake2b(data[w : w + LENGTH], digest_size=16).digest()) for w in range(a, e - LENGTH + 1)]
+                else:
+                    out.append((q["kind"], row, q["ord"], a, q["p"] - a, q["place"], data[a:e], None))
+        columns = list(zip(*out)) or [()] * 8
+        yield pa.RecordBatch.from_arrays([pa.array(list(columns[0]), pa.int32()), *(pa.array(list(c), pa.int64()) for c in columns[1:6]), *(pa.array(list(c), pa.binary()) for c in columns[6:])], names)
 
 
 def _removed(table: pa.Table) -> pa.RecordBatch:
@@ -419,20 +426,6 @@ def _compared_cells(batches):
         yield _removed(pa.Table.from_batches(held))
 
 
-def _window_digests(batches):
-    """Every window of a large place's open cells that another may share."""
-    names = ["place", "h", "row", "ord", "a"]
-    for batch in batches:
-        for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("asked")):
-            data, out = text.as_py(), []
-            for q in asked.as_py():
-                low, high = _OFFSETS[q["kind"]]
-                for start in range(max(q["a"], q["p"] - high), min(q["e"] - LENGTH, q["p"] - low) + 1):
-                    out.append((q["place"], hashlib.blake2b(data[start : start + LENGTH], digest_size=16).digest(), row, q["ord"], start))
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))], names)
-
-
 def _stripped(batches, keep_text: bool):
     for batch in batches:
         out: list[tuple] = []
@@ -453,10 +446,6 @@ def _stripped(batches, keep_text: bool):
         yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(list(c), pa.int64()) for c in columns[:3]), pa.array(list(columns[3]), pa.string()), pa.array(list(columns[4]), pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def _asked(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("row").agg(F.collect_list(F.struct("kind", "ord", "a", "p", "e", "place")).alias("asked")).hint("shuffle_hash")
-
-
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """One row per input row: id_col, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left).
 
@@ -481,22 +470,17 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     opened = state.where("kind > 0")
     sizes = written(opened.groupBy("place").agg(F.count(F.lit(1)).alias("n")), "suffix-places")
-    large = sizes.where(F.col("n") > LARGE_GROUP)
-    n_opened, n_large = sizes.agg(F.sum("n"), F.count_if(F.col("n") > LARGE_GROUP)).first()
-    small, many = opened, None
-    if n_large:
-        tagged = written(hot_join(opened, large, ["place"], "n", "left"), "suffix-open")
-        small, many = tagged.where("n is null"), tagged.where("n is not null")
-
-    # All joins shuffle the same columns of the texts by row, so that one shuffle serves them.
+    n_opened = sizes.agg(F.sum("n")).first()[0] or 0
+    tagged = hot_join(opened, sizes.where(F.col("n") > LARGE_GROUP), ["place"], "n", "left").withColumn("large", F.col("n").isNotNull())
+    asked = tagged.groupBy("row").agg(F.collect_list(F.struct("kind", "ord", "a", "p", "e", "place", "large")).alias("asked"))
     texts = rows.select("row", "id", "text")
-    contents = map_batches(texts.join(_asked(small), "row").select("row", "id", "text", "asked"), _cut_out, "kind int, row long, ord long, a long, before long, place long, content binary")
-    by_place = contents.repartition(max(width, -(-(n_opened or 0) // TASK_CELLS)), "place").sortWithinPartitions("place")
-    cut = state.where("kind = 0").select("row", "a", "e").union(map_batches(by_place, _compared_cells, "row long, a long, e long"))
-    if many is not None:
-        windows = written(map_batches(texts.join(_asked(many), "row").select("row", "id", "text", "asked"), _window_digests, "place long, h binary, row long, ord long, a long"), "suffix-windows")
-        first = windows.groupBy("place", "h").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("n")).where("most > least").drop("most")
-        cut = cut.union(hot_join(windows, written(first, "suffix-firsts"), ["place", "h"], "n").where("ord > least").select("row", "a", (F.col("a") + LENGTH).alias("e")))
+    contents = written(map_batches(texts.select("row", "text").join(asked.hint("shuffle_hash"), "row").select("row", "text", "asked"), _cut_out, _CONTENTS), "suffix-contents")
+
+    by_place = contents.where("h is null").drop("h").repartition(max(width, -(-n_opened // TASK_CELLS)), "place").sortWithinPartitions("place")
+    windows = contents.where("h is not null").select("place", "h", "row", "ord", "a")
+    first = windows.groupBy("place", "h").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("n")).where("most > least").drop("most")
+    gone = hot_join(windows, written(first, "suffix-firsts"), ["place", "h"], "n").where("ord > least").select("row", "a", (F.col("a") + LENGTH).alias("e"))
+    cut = state.where("kind = 0").select("row", "a", "e").union(map_batches(by_place, _compared_cells, "row long, a long, e long")).union(gone)
     cuts = cut.groupBy("row").agg(F.collect_list(F.struct("a", "e")).alias("cut"))
     whole = texts.join(cuts.hint("shuffle_hash"), "row", "left").select("id", "text", "cut")
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
