@@ -171,7 +171,9 @@ def duration_minutes(x: Operand, unit: str = "minutes") -> Column:
 
 
 def minutes_between(later: Operand, earlier: Operand) -> Column:
-    return (F.unix_micros(_of(later)) - F.unix_micros(_of(earlier))) / 6e7
+    """Timestamps with or without a time zone; the latter are in the session's."""
+    micros = lambda x: F.unix_micros(_of(x).cast("timestamp"))
+    return (micros(later) - micros(earlier)) / 6e7
 
 
 def seconds_of_day(x: Operand) -> Column:

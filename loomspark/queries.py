@@ -206,6 +206,43 @@ def yes_no_number(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", E.yes_no(x).alias("seen"))
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 1 WHEN 3 THEN NULL ELSE 0 END AS below, CASE WHEN l_linenumber % 4 = 0 THEN CAST(CAST(l_quantity AS INT) AS DOUBLE) + 0.5 END AS bound FROM lineitem
+""")
+def below_quantification(spark, sf):
+    """Values given as below a limit, and the limit."""
+    q, k = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber") % 4
+    x = F.when(k == 0, F.concat(F.lit(" < "), q, F.lit(",5"))).when(k == 1, q).when(k == 2, F.concat(F.lit("> "), q))
+    t = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x"))
+    return t.select("l_orderkey", "l_linenumber", E.below_limit("x").alias("below"), E.limit_of("x").alias("bound"))
+
+
+@query("""
+SELECT event_id, CAST(date_part('hour', ts) * 3600 + date_part('minute', ts) * 60 + date_part('second', ts) AS INT) AS clock, round((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 6e7, 4) AS waited FROM events
+""")
+def minutes_and_clock(spark, sf):
+    """Seconds of the day, and minutes between two times."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    return table(spark, sf, "events").select("event_id", E.seconds_of_day(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("clock"), F.round(E.minutes_between("ts", start), 4).alias("waited"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN upper(substr(c_mktsegment, 1, 3)) ELSE 'X-' || c_custkey END AS place FROM customer
+""")
+def patient_site(spark, sf):
+    """The site that an id with the patients' prefix names."""
+    k = F.col("c_custkey")
+    own = F.when(k % 3 == 0, F.concat(F.lit("P-"), F.upper(F.substring("c_mktsegment", 1, 3)), F.lit("-"), k.cast("string"))).otherwise(F.concat(F.lit("X-"), k.cast("string")))
+    return table(spark, sf, "customer").select("c_custkey", enrich.site_of_patient(own, "P-").alias("place"))
+
+
+@query("SELECT s_suppkey AS \"Lot\", s_name AS \"Name\", s_acctbal AS \"Name_1\", s_nationkey AS \"Site\" FROM supplier")
+def mapped_renames(spark, sf):
+    """Two source columns that the mapping gives one name: the later one is numbered."""
+    df = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal", F.col("s_nationkey").alias("Site"))
+    return df.toDF(*merge.renamed(df.columns, {"s_suppkey": "Lot", "s_name": "Name", "s_acctbal": "Name"}))
+
+
 # --- rows ----------------------------------------------------------------------------------------------------------
 
 _PIVOT = """WITH p AS (SELECT l_orderkey, max(l_quantity) FILTER (l_linenumber = 1) AS a, max(l_quantity) FILTER (l_linenumber = 2) AS b, max(l_quantity) FILTER (l_linenumber = 3) AS c FROM lineitem GROUP BY l_orderkey)"""
