@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomspark.operators import cohort, components, enrich, skew
+from loomspark.operators import cohort, components, encode, enrich, missingness, skew, windows
 
 
 @pytest.fixture
@@ -80,3 +80,24 @@ def test_rows_without_a_key_are_spread(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+@pytest.fixture
+def few_samples(spark):
+    """Many ranges, their bounds drawn from few rows, and merged by what the rows of a plan weigh, as in large tables."""
+    adaptive = "spark.sql.adaptive."
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.rangeExchange.sampleSizePerPartition", f"{adaptive}advisoryPartitionSizeInBytes", f"{adaptive}coalescePartitions.minPartitionSize", f"{adaptive}coalescePartitions.parallelismFirst")}
+    for k, v in zip(kept, ("40", "2", "64k", "8k", "false")):
+        spark.conf.set(k, v)
+    yield spark.range(30_000, numPartitions=8).select("id", F.when(F.col("id") % 10 > 0, F.col("id") * 7919 % 1009).alias("at"), F.sha2(F.col("id").cast("string"), 512).alias("more"), F.lit(None).alias("nothing"))
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def _in_order(rows):
+    return sorted(rows, key=lambda r: (r["at"] is None, r["at"] or 0, r["id"]))
+
+
+def test_blocks_of_many_ranges(few_samples):
+    folded = encode.folds(few_samples, 5, order="at", id_column="id")
+    assert [r["_fold"] for r in _in_order(folded.collect())] == [k // 6000 for k in range(30_000)]
