@@ -101,3 +101,13 @@ def _in_order(rows):
 def test_blocks_of_many_ranges(few_samples):
     folded = encode.folds(few_samples, 5, order="at", id_column="id")
     assert [r["_fold"] for r in _in_order(folded.collect())] == [k // 6000 for k in range(30_000)]
+
+
+def test_totals_of_many_ranges(few_samples):
+    rows = windows.running_total(few_samples.select("id", "more", (F.col("id") % 5).alias("n")), "id", "n", "before").orderBy("id").collect()
+    assert [r["before"] for r in rows] == [sum(range(5)) * (i // 5) + sum(range(i % 5)) for i in range(30_000)]
+
+
+def test_groups_of_many_ranges(few_samples):
+    sizes = [r["count"] for r in encode.folds(few_samples.withColumn("g", F.col("id") % 9001), 5, groups="g").groupBy("_fold").count().collect()]
+    assert len(sizes) == 5 and sum(sizes) == 30_000 and max(abs(n - 6000) for n in sizes) <= 8
