@@ -111,3 +111,8 @@ def test_totals_of_many_ranges(few_samples):
 def test_groups_of_many_ranges(few_samples):
     sizes = [r["count"] for r in encode.folds(few_samples.withColumn("g", F.col("id") % 9001), 5, groups="g").groupBy("_fold").count().collect()]
     assert len(sizes) == 5 and sum(sizes) == 30_000 and max(abs(n - 6000) for n in sizes) <= 8
+
+
+def test_profile_of_many_ranges(few_samples):
+    row = missingness.profiles(few_samples.select("id", F.when(F.col("id") % 7 >= 2, 1).alias("a")), ["a"], "id", "id").first()
+    assert (row["n"], row["missing"], row["runs"], row["leading"], row["longest"]) == (30_000, 8572, 4286, 2, 2)
