@@ -116,3 +116,8 @@ def test_groups_of_many_ranges(few_samples):
 def test_profile_of_many_ranges(few_samples):
     row = missingness.profiles(few_samples.select("id", F.when(F.col("id") % 7 >= 2, 1).alias("a")), ["a"], "id", "id").first()
     assert (row["n"], row["missing"], row["runs"], row["leading"], row["longest"]) == (30_000, 8572, 4286, 2, 2)
+
+
+def test_places_of_many_ranges(few_samples):
+    rows = windows.ordered(few_samples, "at", "id").collect()
+    assert [r["_seq"] for r in _in_order(rows)] == list(range(1, 30_001)) and rows[0]["nothing"] is None
