@@ -10,6 +10,8 @@ that most of its homes have are never paired with each other, so that a large gr
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -105,20 +107,23 @@ def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
     """
     if not 2 <= threshold <= 3:
         raise ValueError("the anchors are made for a threshold of 2 or 3 bits")
-    each = distinct.select("fp")
+    parts = {}
     for half in (0, 1):
         word, home, near = _anchors(half)
-        each = each.withColumn(f"w{half}", F.expr(word)).withColumn(f"s{half}", F.expr(f"cast({_syndrome(f'w{half}')} as int)")).withColumn(f"h{half}", F.expr(home)).withColumn(f"a{half}", F.expr(near))
-    keys = each.select("fp", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.col(f"w{h}").alias("same"), F.col(f"h{1 - h}").alias("home")) for h in (0, 1)))).alias("k")).select("fp", "k.*")
+        parts |= {f"w{half}": F.expr(word), f"s{half}": F.expr(f"cast({_syndrome(f'w{half}')} as int)"), f"h{half}": F.expr(home), f"a{half}": F.expr(near)}
+    split = lambda rows: reduce(lambda df, name: df.withColumn(name, parts[name]), parts, rows)
+    keys = split(distinct.select("fp")).select("fp", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.col(f"w{h}").alias("same"), F.col(f"h{1 - h}").alias("home")) for h in (0, 1)))).alias("k")).select("fp", "k.*")
     key = ["half", "same", "home"]
     stars = written(keys.groupBy(key).agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-keys")
     starred = written(hot_join(keys, stars, key, "n").where("fp <> v").select(F.col("fp").alias("u"), "v"), "simhash-stars")
     classes = components(starred)
-    each = each.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("class", F.coalesce("root", "fp"))
+    # What follows reads it six times.
+    of = written(distinct.select("fp").join(classes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("class")), "simhash-classes")
+    each = split(of)
 
     homes = each.select("fp", "class", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.col(f"h{h}").alias("anchor")) for h in (0, 1)))).alias("k")).select("fp", "class", "k.*")
     visits = each.select("fp", "class", F.explode(F.concat(*(F.transform(f"a{h}", _of_half(h)) for h in (0, 1)))).alias("k")).select(F.col("fp").alias("other"), F.col("class").alias("class2"), "k.*")
-    return starred.union(_cross_pairs(homes, visits, threshold))
+    return of.where("fp <> class").select(F.col("fp").alias("u"), F.col("class").alias("v")).union(_cross_pairs(homes, visits, threshold))
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 3, words_in_shingle: int = 3, seed: int = 42, key: Column | None = None) -> DataFrame:

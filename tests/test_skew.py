@@ -121,3 +121,15 @@ def test_profile_of_many_ranges(few_samples):
 def test_places_of_many_ranges(few_samples):
     rows = windows.ordered(few_samples, "at", "id").collect()
     assert [r["_seq"] for r in _in_order(rows)] == list(range(1, 30_001)) and rows[0]["nothing"] is None
+
+
+def test_no_plan_of_linked_groups_has_a_whole_round(spark, monkeypatch):
+    joins, written = [], components.written
+
+    def counted(df, label):
+        joins.append(str(df._jdf.queryExecution().optimizedPlan()).count("Join "))
+        return written(df, label)
+
+    monkeypatch.setattr(components, "written", counted)
+    root = {r["node"]: r["root"] for r in components.components(spark.createDataFrame([(i, i + 1) for i in range(30)], "u long, v long")).collect()}
+    assert set(root.values()) == {0} and len(root) == 31 and max(joins) <= 3
