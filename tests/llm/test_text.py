@@ -358,3 +358,23 @@ def test_url_odd_rows(spark):
 
 def test_digest_helper():
     assert brute.sha("a") == hashlib.sha256(b"a").hexdigest()
+
+
+def test_all_labelled_rows_are_learned(spark, docs, monkeypatch):
+    """More rows than one learner has, of which none is left out in any pass, wherever they lie."""
+    monkeypatch.setattr(toxicity, "LEARNER_ROWS", 1500)
+    rows = [(i, f"idiot word{i}" if i % 2 else f"fine word{i}") for i in range(8000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8000)] + [(4, 1), (None, 1), (9, None)], "doc_id long, toxic int")
+    known = toxicity.labelled_rows(docs(rows), labels, "doc_id", "text", "lang")
+    import zlib
+
+    folds = {i: zlib.crc32(str(i).encode()) % 5 for i in range(8000)}
+    assert {r["_id"]: r["fold"] for r in known.collect()} == {i: f for i, f in folds.items() if f}
+    seen, learn = [], toxicity.Learner.joined
+    monkeypatch.setattr(toxicity.Learner, "joined", lambda self, found: seen.append([n for n, _ in found]) or learn(self, found))
+    model = toxicity.trained(known.where("fold > 1"))
+    assert {sum(n) for n in seen} == {sum(f > 1 for f in folds.values())} and {len(n) for n in seen} == {3}
+    good, bad = model.score(["fine text", "an idiot"])
+    assert good < 0.2 and bad > 0.8
+    again = toxicity.trained(toxicity.labelled_rows(docs(rows[::-1], 7), labels, "doc_id", "text", "lang").where("fold > 1").repartition(5))
+    assert (again.embedding == model.embedding).all()
