@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -26,10 +27,17 @@ _MARKS = ".,;:!?\"'()[]{}<>|*#$%&…«»“”‘’¿¡-"
 KEPT_WORDS = 150_000
 
 
+#: Checksums go on from those of what stands before the characters: "3:", "4:", ...
+_BEFORE = [(n, crc32(f"{n}:".encode())) for n in STEMS]
+
+
 def parts_of(word: str, buckets: int) -> list[int]:
     """The buckets of a word's parts; a part that a short word doesn't have is the whole word again."""
     word = word.strip(_MARKS)
-    return [crc32(word.encode()) % buckets, *(crc32(f"{n}:{word[:n]}".encode()) % buckets for n in STEMS)]
+    data = word.encode()
+    if len(data) == len(word):
+        return [crc32(data) % buckets, *[crc32(data[:n], before) % buckets for n, before in _BEFORE]]
+    return [crc32(data) % buckets, *[crc32(word[:n].encode(), before) % buckets for n, before in _BEFORE]]
 
 
 @dataclass
@@ -153,17 +161,18 @@ class Learner:
         filters, dims = m.bias.shape[1], m.embedding.shape[1]
         if len(self._words) > KEPT_WORDS:
             self._words.clear()
-        numbers: dict[str, int] = {}
-        docs = [[numbers.setdefault(w, len(numbers)) for w in t.lower().split()] for t in texts]
+        docs = [t.lower().split() for t in texts]
+        words = list(chain.from_iterable(docs))
+        numbers = {w: k for k, w in enumerate(dict.fromkeys(words))}
         for w in numbers:
             if w not in self._words:
                 self._words[w] = parts_of(w, len(m.embedding))
-        parts = np.array([self._words[w] for w in numbers], dtype=np.intp).reshape(len(numbers), 1 + len(STEMS))
+        parts = np.fromiter(chain.from_iterable(map(self._words.__getitem__, numbers)), dtype=np.intp, count=len(numbers) * (1 + len(STEMS))).reshape(len(numbers), 1 + len(STEMS))
         y = np.array(labels, dtype="f4")
         weight = np.where(y > 0, 0.5 / max(self.share, 1e-6), 0.5 / max(1 - self.share, 1e-6)).astype("f4")
         self.step += 1
         lengths = np.array([len(d) for d in docs])
-        flat = np.array([x for d in docs for x in d], dtype=np.intp)
+        flat = np.fromiter(map(numbers.__getitem__, words), dtype=np.intp, count=len(words))
         vectors = np.concatenate([np.zeros((1, dims), dtype="f4"), m.embedding[parts].sum(axis=1)])
         table = np.concatenate([vectors @ f for f in m.filters], axis=1)
         places, starts, padded = _laid_out(flat + 1, lengths)
