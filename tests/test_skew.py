@@ -1,10 +1,14 @@
 """Hot keys: what is joined is right, and no task has all of a key."""
 
 import random
+from pathlib import Path
 
+import duckdb
 import pytest
+from oracle import expected, got
 from pyspark.sql import functions as F
 
+from loomspark import queries
 from loomspark.operators import cohort, components, encode, enrich, missingness, skew, windows
 
 
@@ -123,6 +127,24 @@ def test_places_of_many_ranges(few_samples):
     assert [r["_seq"] for r in _in_order(rows)] == list(range(1, 30_001)) and rows[0]["nothing"] is None
 
 
+@pytest.fixture
+def many_rows(tmp_path):
+    """Orders and events six times, with shifted keys; the other tables as they are."""
+    repeated = {"orders": {"o_orderkey": 15_000, "o_custkey": 1500}, "events": {"event_id": 10_000, "user_id": 150}}
+    for f in Path("/root/testdata/sf0.01").glob("*.parquet"):
+        if keys := repeated.get(f.stem):
+            shifted = ", ".join(f"{c} + {n} * r AS {c}" for c, n in keys.items())
+            duckdb.execute(f"COPY (SELECT * EXCLUDE (r) REPLACE ({shifted}) FROM '{f}', range(6) AS t(r)) TO '{tmp_path / f.name}' (FORMAT parquet)")
+        else:
+            (tmp_path / f.name).symlink_to(f)
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["grouped_folds"])
+def test_query_of_many_ranges_matches_sql(spark, few_samples, many_rows, name):
+    assert got(queries.QUERIES[name](spark, many_rows)) == expected(queries.ORACLE_SQL[name], many_rows)
+
+
 def test_no_plan_of_linked_groups_has_a_whole_round(spark, monkeypatch):
     joins, written = [], components.written
 
