@@ -140,7 +140,7 @@ def many_rows(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["grouped_folds", "missing_profile_runs_test"])
+@pytest.mark.parametrize("name", ["grouped_folds", "missing_profile_runs_test", "ordered_places"])
 def test_query_of_many_ranges_matches_sql(spark, few_samples, many_rows, name):
     assert got(queries.QUERIES[name](spark, many_rows)) == expected(queries.ORACLE_SQL[name], many_rows)
 
